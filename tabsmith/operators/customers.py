@@ -62,7 +62,7 @@ def industry_pick(universe: DataFrame, crm_opportunity: DataFrame, opportunity_u
 
 
 def address_usage(universe: DataFrame, sources: list[tuple[DataFrame, bool]], address_col: str,
-                  union_all_sources: bool = False) -> DataFrame:
+                  union_all_sources: bool = False, sources_within_universe: bool = False) -> DataFrame:
     """Rows (external_id, address, total) as the distinct union over sources
     of ``count(source.id)`` per (customer, address) for the customers of the
     universe. ``sources`` pairs a frame (arcusto_id, <address_col>, id) with
@@ -70,19 +70,33 @@ def address_usage(universe: DataFrame, sources: list[tuple[DataFrame, bool]], ad
     (an outer join without a later filter does that).
 
     Each source is aggregated by (customer, address) before meeting the
-    universe. Equal (customer, address, total) rows from two sources merge,
-    as a distinct union does; ``union_all_sources=True`` keeps them."""
+    universe. With ``sources_within_universe`` (every source is itself a
+    branch of the universe, as in the customer tabs) that meeting only drops
+    null customers and no join is planned. Absent customers are found with
+    one aggregate: the set of sources each universe customer appears in
+    (at most one entry per source, so bounded per customer). Equal
+    (customer, address, total) rows from two sources merge, as a distinct
+    union does; ``union_all_sources=True`` keeps them."""
     ids = universe.filter(F.col("arcusto_id").isNotNull()).select(F.col("arcusto_id").alias("external_id"))
     addr_type = sources[0][0].schema[address_col].dataType
     parts = []
-    for src, keep_absent in sources:
-        agg = (src.groupBy(F.col("arcusto_id").alias("external_id"), F.col(address_col))
+    for src, _ in sources:
+        agg = (src.filter(F.col("arcusto_id").isNotNull())
+               .groupBy(F.col("arcusto_id").alias("external_id"), F.col(address_col))
                .agg(F.count("id").alias("total")))
-        parts.append(agg.join(ids, "external_id", "left_semi"))
-        if keep_absent:
-            absent = ids.join(src.select(F.col("arcusto_id").alias("external_id")), "external_id", "left_anti")
-            parts.append(absent.select("external_id", F.lit(None).cast(addr_type).alias(address_col),
-                                       F.lit(0).cast("long").alias("total")))
+        parts.append(agg if sources_within_universe else agg.join(ids, "external_id", "left_semi"))
+    tags = [i for i, (_, keep_absent) in enumerate(sources) if keep_absent]
+    if tags:
+        seen = union_all([ids.select("external_id", F.lit(-1).alias("__src"))] + [
+            sources[i][0].select(F.col("arcusto_id").alias("external_id"), F.lit(i).alias("__src")) for i in tags])
+        present = (seen.filter(F.col("external_id").isNotNull()).groupBy("external_id")
+                   .agg(F.collect_set("__src").alias("__seen")))
+        wanted = F.array(*[F.lit(i) for i in tags])
+        absent = (present.filter(F.array_contains("__seen", -1))
+                  .select("external_id", F.explode(F.array_except(wanted, F.col("__seen"))).alias("__src")))
+        zero = absent.select("external_id", F.lit(None).cast(addr_type).alias(address_col),
+                             F.lit(0).cast("long").alias("total"))
+        parts.append(zero)
     return union_all(parts) if union_all_sources else distinct_union(parts)
 
 

@@ -98,7 +98,9 @@ def address_usage(t: Tables, kind: str = "bill_to", universe: DataFrame | None =
     (3 sources), including the ``(customer, null, 0)`` rows."""
     col = f"{kind}_id"
     u = universe if universe is not None else customer_universe(t)
-    return C.address_usage(u, _usage_sources(t, col, kind == "bill_to"), col, union_all_sources)
+    # The usage sources are branches of the universe, so no semi join is needed.
+    return C.address_usage(u, _usage_sources(t, col, kind == "bill_to"), col, union_all_sources,
+                           sources_within_universe=universe is None)
 
 
 def ranked_addresses(t: Tables, kind: str = "bill_to", union_all_sources: bool = False) -> DataFrame:
@@ -273,17 +275,26 @@ def purchase_item_vendors_tab(t: Tables, **kw) -> DataFrame:
                                                                              "TRUE", "FALSE"))
 
 
-def assembly_results(t: Tables, stale_before: dt.date = fixed.STALE_BEFORE) -> DataFrame:
-    """T9 rows: assemblies (default BOM present, description without TEST,
-    class without FG) that are neither stale nor configurator items."""
+def assembly_items_kept(t: Tables, stale_before: dt.date = fixed.STALE_BEFORE) -> DataFrame:
+    """dim_inventory rows of the assemblies to export: default BOM present,
+    description without TEST, class without FG, and neither stale nor a
+    configurator item. (Item ids are the masters' primary keys.)"""
     stale = I.stale_items(t["translog"], t["arinvt"], t["standard"], stale_before).select(
         F.col("arinvt_id").alias("inventory_id"))
     config = I.config_items(t["ord_detail"], t["orders"], t["hist_ord_detail"], t["hist_orders"], t["crm_quote"],
                             t["crm_quote_detail"]).select(F.col("arinvt_id").alias("inventory_id"))
-    dim = (t["dim_inventory"].join(stale, "inventory_id", "left_anti").join(config, "inventory_id", "left_anti"))
-    rows = _with_item(dim, t, ["unit", "class"]).filter(
-        F.col("default_bom_number").isNotNull() & ~F.upper(F.col("item_description")).like(fixed.TEST_MARK)
-        & ~F.col("class").like(fixed.FINISHED_GOOD_MARK))
+    dim = (t["dim_inventory"].filter(F.col("default_bom_number").isNotNull()
+                                     & ~F.upper(F.col("item_description")).like(fixed.TEST_MARK))
+           .join(stale, "inventory_id", "left_anti").join(config, "inventory_id", "left_anti"))
+    cls = t["arinvt"].select(F.col("id").alias("inventory_id"), "class").filter(
+        ~F.col("class").like(fixed.FINISHED_GOOD_MARK))
+    return dim.join(cls.select("inventory_id"), "inventory_id", "left_semi")
+
+
+def assembly_results(t: Tables, stale_before: dt.date = fixed.STALE_BEFORE) -> DataFrame:
+    """T9 rows before formatting: kept assemblies with item unit, class id,
+    latest purchase unit and weight per unit."""
+    rows = _with_item(assembly_items_kept(t, stale_before), t, ["unit"])
     rows = _with_latest_unit(_with_class(rows, t), latest_units(t))
     w = I.unit_weight(t["shipment_packages"], t["shipments"], t["shipment_dtl"], t["ord_detail"]).select(
         F.col("arinvt_id").alias("__w_item"), "weight_per_unit")
@@ -291,6 +302,7 @@ def assembly_results(t: Tables, stale_before: dt.date = fixed.STALE_BEFORE) -> D
 
 
 def assembly_inventory_tab(t: Tables, **kw) -> DataFrame:
+    """Assemblies with units, class, weight and accounts."""
     rows = assembly_results(t, **kw)
     return rows.select(
         F.col("inventory_id").alias("external_id"),
@@ -311,16 +323,16 @@ def assembly_inventory_tab(t: Tables, **kw) -> DataFrame:
 
 
 def assembly_locations_tab(t: Tables, **kw) -> DataFrame:
-    """Location settings of the assemblies of T9 ('Build' supply)."""
-    res = assembly_inventory_tab(t, **kw).select(F.col("external_id").alias("inventory_id"))
-    rows = _with_item(res.join(t["dim_inventory"], "inventory_id", "left"), t, ["safety_stock"])
+    """Location settings of the assemblies of T9 ('Build' supply).
+    Built from the kept assembly rows; the T9 enrichment (units, class,
+    weight) does not change which items are exported, so it is not rerun."""
+    rows = _with_item(assembly_items_kept(t, **kw), t, ["safety_stock"])
     return rows.select(F.col("inventory_id").alias("external_id"), *_location_columns("Build"))
 
 
 def assembly_item_vendors_tab(t: Tables, **kw) -> DataFrame:
     """Per assembly of T9 and vendor, the entry price tier (Yes/No)."""
-    res = assembly_inventory_tab(t, **kw).select(F.col("external_id").alias("inventory_id"),
-                                                 F.col("item_name_number").alias("item_number"))
+    res = assembly_items_kept(t, **kw).select("inventory_id", "item_number")
     priced = I.priced_breaks(t["arinvt_vendors_breaks"], t["arinvt_vendors"])
     rows = priced.join(res, priced["arinvt_id"] == res["inventory_id"], "inner")
     return I.entry_tier(rows, "inventory_id").select(*_vendor_price_columns("inventory_id", "item_number",

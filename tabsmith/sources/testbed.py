@@ -293,6 +293,10 @@ _add(View("vendors_cleaned", "supplier", (
 )))
 
 # ------------------------------------------------------------------ items
+# Distinct (part, supplier) pairs of the line log: one vendor item, one BOM
+# and one part row each (deduplicated on two longs before any text is built).
+_add(View("part_supplier_pairs", "lineitem", (("l_partkey", "l_partkey"), ("l_suppkey", "l_suppkey")),
+          distinct=True))
 _add(View("dim_inventory", "part", (
     ("inventory_id", "p_partkey"),
     ("item_number", f"'ITEM-' || {_s('p_partkey')}"),
@@ -334,13 +338,13 @@ _add(View("translog", "lineitem", (
                    "WHEN l_returnflag = 'A' THEN 'PROCESS WIP' "
                    "WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN 'PACKING SLIP' ELSE 'RECEIVING' END"),
 )))
-_add(View("arinvt_vendors", "lineitem", (
+_add(View("arinvt_vendors", "part_supplier_pairs", (
     ("id", _PAIR_ID),
     ("arinvt_id", "l_partkey"),
     ("vendor_id", "l_suppkey"),
     ("vend_itemno", f"'V' || {_s('l_suppkey')} || '-' || {_s('l_partkey')}"),
     ("is_default", "CASE (l_partkey + l_suppkey) % 3 WHEN 0 THEN 'Y' WHEN 1 THEN 'N' END"),
-), distinct=True))
+)))
 _add(View("arinvt_vendors_breaks", "lineitem", (
     ("id", _LINE_ID),
     ("arinvt_vendors_id", _PAIR_ID),
@@ -371,15 +375,14 @@ _add(View("shipment_dtl", "lineitem", (
 _add(View("netsuite_item_class", "", (("product_group", None), ("netsuite_id", None)), values=CLASS_IDS))
 
 # ------------------------------------------------------ BOMs and routings
-_add(View("standard", "lineitem", (
+_add(View("standard", "part_supplier_pairs", (
     ("id", _PAIR_ID),
     ("mfgno", f"'MFG-' || {_s('l_partkey')} || '-' || {_s('l_suppkey')} || "
               "CASE (l_partkey + l_suppkey) % 12 WHEN 0 THEN '-sub' WHEN 1 THEN '-Test' WHEN 2 THEN '-ECO' "
               "WHEN 3 THEN '-rework' WHEN 4 THEN '-eco' ELSE '' END"),
     ("descrip", f"'Bill for part ' || {_s('l_partkey')}"),
-), distinct=True))
-_add(View("partno", "lineitem", (("id", _PAIR_ID), ("arinvt_id", "l_partkey"), ("standard_id", _PAIR_ID)),
-          distinct=True))
+)))
+_add(View("partno", "part_supplier_pairs", (("id", _PAIR_ID), ("arinvt_id", "l_partkey"), ("standard_id", _PAIR_ID))))
 _add(View("ptoper", "lineitem", (
     ("partno_id", _PAIR_ID), ("sndop_id", "l_orderkey"),
     ("opseq", "CASE WHEN l_linenumber = 7 THEN NULL ELSE l_linenumber END"))))
