@@ -159,6 +159,22 @@ def address_csv_job(spark, root):
     return address_job.clean_addresses(read_text_csv(spark, path))
 
 
+@query
+def address_stream_job(spark, root):
+    """T18 as a stream: the derived addresses are dropped as CSV files into a
+    folder, a file-source stream cleans them (available-now trigger) and the
+    output folder is read back."""
+    from tabsmith.streaming import address_stream
+
+    cols = ["customer_id", "address", "city", "state", "zip"]
+    src = _address_input(spark, root).select(F.col("customer_id").cast("string").alias("customer_id"),
+                                             *cols[1:])
+    inbox, outbox = stage_path(spark, "address_inbox"), stage_path(spark, "address_outbox")
+    write_csv(src.repartition(4), inbox)
+    address_stream.start(spark, inbox, outbox, columns=cols).awaitTermination()
+    return read_text_csv(spark, outbox, cols + ["cleaned_address", "cleaned_city", "cleaned_state", "cleaned_zip"])
+
+
 # ---------------------------------------------------------------- customers
 def _cust(spark, root):
     return Views(spark, root, CUSTOMERS)
