@@ -10,18 +10,22 @@ from pyspark.sql import functions as F
 
 from tabsmith.functions import fixed
 from tabsmith.functions.items import unit_price
-from tabsmith.operators.relational import default_like, distinct_union, first_per_key
+from tabsmith.operators.relational import default_like, distinct_union, first_per_key, union_all
 
 
 # --------------------------------------------------------- purchase units
-def purchase_units(po_detail: DataFrame, po: DataFrame, po_detail_hist: DataFrame, po_hist: DataFrame) -> DataFrame:
-    """Distinct (po_date, arinvt_id, unit) over current and historic PO lines;
-    the date comes from the PO header (null when the header is missing)."""
+def purchase_units(po_detail: DataFrame, po: DataFrame, po_detail_hist: DataFrame, po_hist: DataFrame,
+                   distinct: bool = True) -> DataFrame:
+    """(po_date, arinvt_id, unit) over current and historic PO lines, the date
+    from the PO header (null when the header is missing); distinct unless
+    ``distinct=False`` (a top-1 per item does not need it: duplicates are
+    identical rows, so dropping them first only costs a shuffle)."""
     def dated(detail: DataFrame, header: DataFrame) -> DataFrame:
         h = header.select(F.col("id").alias("__po"), "po_date")
         return (detail.join(h, detail["po_id"] == h["__po"], "left")
                 .select("po_date", "arinvt_id", "unit"))
-    return distinct_union([dated(po_detail, po), dated(po_detail_hist, po_hist)])
+    parts = [dated(po_detail, po), dated(po_detail_hist, po_hist)]
+    return distinct_union(parts) if distinct else union_all(parts)
 
 
 def latest_unit(units: DataFrame, nulls_first: bool = False) -> DataFrame:
@@ -42,14 +46,21 @@ def live_price_breaks(breaks: DataFrame) -> DataFrame:
             .select("vendor_price_break_id", "arinvt_vendors_id", "quan", "qprice"))
 
 
-def priced_breaks(breaks: DataFrame, arinvt_vendors: DataFrame) -> DataFrame:
-    """Live, current-version breaks joined to their vendor item, with the
-    unit price. Semi join on the representative ids: no fan-out."""
+def priced_breaks(breaks: DataFrame, arinvt_vendors: DataFrame, representatives_only: bool = False) -> DataFrame:
+    """Live breaks joined to their vendor item, with the unit price.
+
+    The source keeps only each tier's representative (highest id per vendor
+    item, quantity and price). For the entry tier that filter cannot change
+    the result: every output column is a function of (vendor item, quantity,
+    price), and the id tie-break picks the highest id, which is always a
+    representative. So by default the filter (an aggregate plus a join of
+    two large inputs) is skipped; ``representatives_only=True`` applies it."""
     live = breaks.filter(F.col("deactive_date").isNull())
-    reps = live_price_breaks(breaks).select(F.col("vendor_price_break_id").alias("id"))
+    if representatives_only:
+        reps = live_price_breaks(breaks).select(F.col("vendor_price_break_id").alias("id"))
+        live = live.join(reps, "id", "left_semi")
     av = arinvt_vendors.select(F.col("id").alias("__av"), "arinvt_id", "vendor_id", "vend_itemno", "is_default")
-    return (live.join(reps, "id", "left_semi")
-            .join(av, F.col("arinvt_vendors_id") == F.col("__av"), "inner")
+    return (live.join(av, F.col("arinvt_vendors_id") == F.col("__av"), "inner")
             .select("id", "arinvt_id", "vendor_id", "vend_itemno", "is_default", "quan", "qprice",
                     unit_price(F.col("quan"), F.col("qprice")).alias("vendor_price")))
 

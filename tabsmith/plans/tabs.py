@@ -27,6 +27,7 @@ from tabsmith.operators import boms as B
 from tabsmith.operators import customers as C
 from tabsmith.operators import items as I
 from tabsmith.operators import vendors as V
+from tabsmith.sources.tables import bounded_broadcast
 
 Tables = Mapping[str, DataFrame]
 
@@ -183,7 +184,8 @@ def _unit_columns(dim_unit: Column, item_unit: Column, po_unit: Column) -> list:
 
 
 def latest_units(t: Tables) -> DataFrame:
-    return I.latest_unit(I.purchase_units(t["po_detail"], t["po"], t["po_detail_hist"], t["po_hist"]))
+    return I.latest_unit(I.purchase_units(t["po_detail"], t["po"], t["po_detail_hist"], t["po_hist"],
+                                          distinct=False))
 
 
 def purchased_predicate(excluded_ids=fixed.EXCLUDED_ITEM_IDS) -> Column:
@@ -208,7 +210,7 @@ def _with_item(dim: DataFrame, t: Tables, cols) -> DataFrame:
 def _with_class(rows: DataFrame, t: Tables) -> DataFrame:
     cls = t["netsuite_item_class"].select(F.col("product_group").alias("__class"), "netsuite_id")
     named = rows.withColumn("__class_name", T.item_class(F.col("product_group"), F.col("product_model")))
-    return named.join(F.broadcast(cls), F.col("__class_name") == F.col("__class"), "left")
+    return named.join(bounded_broadcast(cls, 10_000), F.col("__class_name") == F.col("__class"), "left")
 
 
 def _with_latest_unit(rows: DataFrame, units: DataFrame) -> DataFrame:
