@@ -425,8 +425,22 @@ _add(View("raw_addresses", "customer", (
 
 
 # --------------------------------------------------------------- rendering
-def spark_view(spark: SparkSession, root: str, name: str, _cache: dict | None = None) -> DataFrame:
-    """The view as a lazy DataFrame over the parquet tables under ``root``."""
+_BUILT: dict = {}
+
+
+def spark_view(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The view as a lazy DataFrame over the parquet tables under ``root``.
+
+    Views are immutable plans, so each (session, folder, view) is built once
+    and reused: the file listing, footer read and analysis happen once
+    instead of once per query that uses the view."""
+    key = (id(spark), root, name)
+    if key not in _BUILT or _BUILT[key].sparkSession is not spark:
+        _BUILT[key] = _build_view(spark, root, name)
+    return _BUILT[key]
+
+
+def _build_view(spark: SparkSession, root: str, name: str) -> DataFrame:
     if name in DRIVER_TABLES:
         return read_table(spark, root, name)
     v = VIEWS[name]
