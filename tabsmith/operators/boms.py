@@ -57,14 +57,19 @@ def candidate_boms(assemblies: DataFrame, partno: DataFrame, arinvt: DataFrame,
     ).distinct()
 
 
+def bom_counts(candidates: DataFrame) -> DataFrame:
+    """Per assembly: number of candidate BOMs and of default ones."""
+    return candidates.groupBy("assembly_id").agg(
+        F.count("bom_id").alias("total_bom_count"),
+        F.sum(F.when(F.col("is_bom_default") == fixed.BOM_DEFAULT, 1).otherwise(0)).cast("long")
+        .alias("default_bom_count"))
+
+
 def select_boms(candidates: DataFrame) -> DataFrame:
     """Keep an assembly's only BOM; with several keep the default one(s);
     several without a default keep nothing. Counts per assembly are an
     aggregate joined back (combines map-side; AQE splits a hot assembly)."""
-    counts = candidates.groupBy("assembly_id").agg(
-        F.count("bom_id").alias("total_bom_count"),
-        F.sum(F.when(F.col("is_bom_default") == fixed.BOM_DEFAULT, 1).otherwise(0)).alias("default_bom_count"))
-    j = candidates.join(counts, "assembly_id", "inner")
+    j = candidates.join(bom_counts(candidates), "assembly_id", "inner")
     total, defaults = F.col("total_bom_count"), F.col("default_bom_count")
     keep = (total == 1) | (
         (total > 1) & (F.col("is_bom_default") == fixed.BOM_DEFAULT) & ~((total > 1) & (defaults == 0)))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.functions import fixed
 from tabsmith.functions.items import unit_price
-from tabsmith.operators.relational import default_like, distinct_union, first_per_key, union_all
+from tabsmith.operators.relational import default_like, distinct_union, first_per_key, union_all, with_group_total
 
 
 # --------------------------------------------------------- purchase units
@@ -54,11 +54,13 @@ def priced_breaks(breaks: DataFrame, arinvt_vendors: DataFrame, representatives_
     the result: every output column is a function of (vendor item, quantity,
     price), and the id tie-break picks the highest id, which is always a
     representative. So by default the filter (an aggregate plus a join of
-    two large inputs) is skipped; ``representatives_only=True`` applies it."""
+    two large inputs) is skipped; ``representatives_only=True`` applies it as
+    the source does, a join on the break id (with unique break ids this is a
+    semi join; with repeated ids every matching tier repeats the row)."""
     live = breaks.filter(F.col("deactive_date").isNull())
     if representatives_only:
         reps = live_price_breaks(breaks).select(F.col("vendor_price_break_id").alias("id"))
-        live = live.join(reps, "id", "left_semi")
+        live = live.join(reps, "id", "inner")
     av = arinvt_vendors.select(F.col("id").alias("__av"), "arinvt_id", "vendor_id", "vend_itemno", "is_default")
     return (live.join(av, F.col("arinvt_vendors_id") == F.col("__av"), "inner")
             .select("id", "arinvt_id", "vendor_id", "vend_itemno", "is_default", "quan", "qprice",
@@ -165,16 +167,12 @@ def config_items(ord_detail: DataFrame, orders: DataFrame, hist_ord_detail: Data
 
 
 # ------------------------------------------------------------------ weight
-def unit_weight(shipment_packages: DataFrame, shipments: DataFrame, shipment_dtl: DataFrame,
-                ord_detail: DataFrame) -> DataFrame:
-    """Weight per unit from shipments: each package's weight is spread over
-    the order lines shipped with it in proportion to the line quantity over
-    the package's total shipped quantity; then per item
-    sum(weight) / sum(quantity). The numerator uses the order-line quantity,
-    the denominator the shipment-line quantity.
-
-    The package total is an aggregate joined back (same as a window sum over
-    the package, but combined map-side and skew-split by AQE)."""
+def package_lines(shipment_packages: DataFrame, shipments: DataFrame, shipment_dtl: DataFrame,
+                  ord_detail: DataFrame) -> DataFrame:
+    """One row per (package, shipment line, order line) with the package
+    weight, the order-line quantity and the package's total shipped quantity
+    (``sum over (partition by package)``, computed as an aggregate joined
+    back: combined map-side and skew-split by AQE)."""
     sp = shipment_packages.select(F.col("id").alias("package_id"), F.col("shipments_id").alias("__sid"),
                                   F.col("actual_weight").alias("total_package_weight"))
     s = shipments.select(F.col("id").alias("__sid"))
@@ -182,12 +180,20 @@ def unit_weight(shipment_packages: DataFrame, shipments: DataFrame, shipment_dtl
                              F.col("cumm_shipped").alias("shipped_quantity"))
     od = ord_detail.select(F.col("id").alias("__od"), "arinvt_id", F.col("cumm_shipped").alias("item_quantity"))
     lines = sp.join(s, "__sid").join(sd, "__sid").join(od, "__od")
-    totals = lines.groupBy("package_id").agg(F.sum("shipped_quantity").alias("total_package_quantity"))
-    spread = lines.join(totals, "package_id").select(
-        "arinvt_id", "item_quantity",
+    return with_group_total(lines, ["package_id"], "shipped_quantity", "total_package_quantity").select(
+        "package_id", "total_package_weight", "arinvt_id", "item_quantity", "total_package_quantity",
         (F.col("total_package_weight")
          * (F.col("item_quantity") / F.nullif(F.col("total_package_quantity"), F.lit(0)))).alias("distributed_weight"))
-    per_item = spread.groupBy("arinvt_id").agg(F.sum("distributed_weight").alias("total_weight"),
-                                               F.sum("item_quantity").alias("total_quantity"))
+
+
+def unit_weight(shipment_packages: DataFrame, shipments: DataFrame, shipment_dtl: DataFrame,
+                ord_detail: DataFrame) -> DataFrame:
+    """Weight per unit from shipments: each package's weight is spread over
+    the order lines shipped with it in proportion to the line quantity over
+    the package's total shipped quantity; then per item
+    sum(weight) / sum(quantity). The numerator uses the order-line quantity,
+    the denominator the shipment-line quantity."""
+    per_item = package_lines(shipment_packages, shipments, shipment_dtl, ord_detail).groupBy("arinvt_id").agg(
+        F.sum("distributed_weight").alias("total_weight"), F.sum("item_quantity").alias("total_quantity"))
     return per_item.select(
         "arinvt_id", (F.col("total_weight") / F.nullif(F.col("total_quantity"), F.lit(0))).alias("weight_per_unit"))

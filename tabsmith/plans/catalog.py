@@ -250,6 +250,11 @@ def vendor_addresses(spark, root):
                     "address_2_zip", "address_2_country")
 
 
+@query
+def vendor_remit_pairs(spark, root):
+    return V.vendor_remit_pairs(_vend(spark, root)["po"])
+
+
 @query
 def vendor_reconcile(spark, root):
     return tabs.vendor_tab(_vend(spark, root))
@@ -323,6 +328,38 @@ def unit_weight(spark, root):
     return w.select("arinvt_id", F.round("weight_per_unit", 6).alias("weight_per_unit"))
 
 
+@query
+def purchase_units(spark, root):
+    """Distinct (date, item, unit) over current and historic PO lines."""
+    t = _items(spark, root)
+    return I.purchase_units(t["po_detail"], t["po"], t["po_detail_hist"], t["po_hist"])
+
+
+@query
+def representative_breaks(spark, root):
+    """Live price breaks that are their tier's representative (joined on the
+    highest id per vendor item, quantity and price), with unit price."""
+    t = _items(spark, root)
+    p = I.priced_breaks(t["arinvt_vendors_breaks"], t["arinvt_vendors"], representatives_only=True)
+    return p.select("id", "arinvt_id", "vendor_id", "quan", "qprice", "vendor_price")
+
+
+@query
+def item_creation_dates(spark, root):
+    return I.creation_dates(_items(spark, root)["translog"])
+
+
+@query
+def item_last_use(spark, root):
+    return I.last_use(_items(spark, root)["translog"])
+
+
+@query
+def package_lines(spark, root):
+    t = _items(spark, root)
+    return I.package_lines(t["shipment_packages"], t["shipments"], t["shipment_dtl"], t["ord_detail"])
+
+
 @query
 def location_settings(spark, root):
     t = _items(spark, root)
@@ -373,6 +410,13 @@ def candidate_boms(spark, root):
     return B.candidate_boms(asm, t["partno"], t["arinvt"], t["standard"], t["translog"])
 
 
+@query
+def bom_counts(spark, root):
+    t = _items(spark, root)
+    asm = B.assembly_items(t["serialized_assembly_items"], t["non_serialized_assembly_items"])
+    return B.bom_counts(B.candidate_boms(asm, t["partno"], t["arinvt"], t["standard"], t["translog"]))
+
+
 @query
 def select_bom(spark, root):
     return tabs.selected_boms(_items(spark, root))
