@@ -31,8 +31,9 @@ def candidate_boms(assemblies: DataFrame, partno: DataFrame, arinvt: DataFrame,
     (1900-01-01 when never used).
 
     The last use is aggregated per BOM before the join, so the log is never
-    multiplied by the part rows of a BOM."""
-    parts = partno.select("arinvt_id", "standard_id").distinct()
+    multiplied by the part rows of a BOM. Repeated part rows need no dedup of
+    their own: the final distinct removes the rows they repeat."""
+    parts = partno.select("arinvt_id", "standard_id")
     asm = assemblies.select(F.col("external_id").alias("assembly_id"),
                             F.col(ITEM_NUMBER_COLUMN).alias("assembly_item_num"),
                             F.col("description").alias("assembly_item_descrip"))

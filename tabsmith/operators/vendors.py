@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from tabsmith import functions as T
 
 
-def vendor_remit_pairs(po: DataFrame) -> DataFrame:
+def vendor_remit_pairs(po: DataFrame, vendor_ids=None) -> DataFrame:
     """Distinct (vendor, remit-to) pairs of the purchase-order headers. Only
     these two columns reach the vendor rows, so the headers are reduced to
-    them before any join (no PO fan-out)."""
+    them before any join (no PO fan-out). ``vendor_ids`` keeps only the POs
+    of the listed vendors (the source's optional vendor restriction)."""
+    if vendor_ids is not None:
+        po = po.filter(F.col("vendor_id").isin(*vendor_ids))
     return po.select("vendor_id", "remit_to_id").distinct()
 
 
@@ -30,14 +33,16 @@ def _prefixed(df: DataFrame, prefix: str, cols) -> DataFrame:
 
 
 def vendor_rows(vendor: DataFrame, po: DataFrame, remit_to: DataFrame, terms: DataFrame, states: DataFrame,
-                employees: DataFrame, glacct: DataFrame, with_po_only: bool = False) -> DataFrame:
+                employees: DataFrame, glacct: DataFrame, with_po_only: bool = False, vendor_ids=None) -> DataFrame:
     """The vendor x remit-to grid before formatting: one row per distinct
     combination of ``GROUP_COLUMNS``. Lookups (terms, states twice, employee
-    names, accounts) are left joins; states is joined twice in two roles."""
+    names, accounts) are left joins; states is joined twice in two roles.
+    ``with_po_only`` keeps only vendors with a purchase order (the source's
+    disabled ``having count(po) > 0``)."""
     v = _prefixed(vendor, "v_", vendor.columns)
     r = _prefixed(remit_to, "r_", ["id", "attn", "phone_number", "addr1", "addr2", "addr3", "city", "state",
                                    "zip", "country"])
-    pairs = vendor_remit_pairs(po)
+    pairs = vendor_remit_pairs(po, vendor_ids)
     s1 = states.select(F.col("state_code").alias("s1_code"), F.col("name").alias("v_state_name"))
     s2 = states.select(F.col("state_code").alias("s2_code"), F.col("name").alias("r_state_name"))
     emp = employees.select("employee_full_name").distinct()

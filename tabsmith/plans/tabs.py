@@ -161,15 +161,15 @@ def customer_own_address_tab(t: Tables, universe: DataFrame | None = None) -> Da
 
 
 # ------------------------------------------------------------------ vendors
-def vendor_grid(t: Tables, with_po_only: bool = False) -> DataFrame:
+def vendor_grid(t: Tables, with_po_only: bool = False, vendor_ids=None) -> DataFrame:
     rows = V.vendor_rows(t["vendor"], t["po"], t["remit_to"], t["terms"], t["states"], t["dim_employees"],
-                         t["glacct"], with_po_only)
+                         t["glacct"], with_po_only, vendor_ids)
     return V.format_vendor_rows(rows)
 
 
-def vendor_tab(t: Tables, with_po_only: bool = False) -> DataFrame:
+def vendor_tab(t: Tables, with_po_only: bool = False, vendor_ids=None) -> DataFrame:
     """T5: curated vendors with their computed rows side by side."""
-    return V.reconcile(t["vendors_cleaned"], vendor_grid(t, with_po_only))
+    return V.reconcile(t["vendors_cleaned"], vendor_grid(t, with_po_only, vendor_ids))
 
 
 # -------------------------------------------------------------------- items
@@ -408,6 +408,15 @@ def routing_steps_tab(t: Tables, bom_main: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------- sink
+def with_legacy_names(df: DataFrame) -> DataFrame:
+    """Rename corrected template columns back to the target template's
+    legacy spellings (``fixed.LEGACY_COLUMN_NAMES``)."""
+    for new, old in fixed.LEGACY_COLUMN_NAMES.items():
+        if new in df.columns:
+            df = df.withColumnRenamed(new, old)
+    return df
+
+
 # Export order per tab: (column, descending?); ascending keys put nulls
 # first and descending keys nulls last, as most warehouses do.
 SINK_ORDER = {
