@@ -38,7 +38,8 @@ def main() -> None:
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             samples.append(time.perf_counter() - t0)
         times[k] = round(statistics.median(samples), 3)
-        print(f"# {k}: {times[k]}s", file=sys.stderr, flush=True)
+        if os.environ.get("BENCH_VERBOSE"):
+            print(f"# {k}: {times[k]}s", file=sys.stderr, flush=True)
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({"metric": "sum_of_median_query_seconds", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf, "cpus": n, "runs": runs,
