@@ -129,13 +129,15 @@ def stale_items(translog: DataFrame, arinvt: DataFrame, standard: DataFrame,
     number contains ``ECO`` (case-sensitive).
 
     Only whether an item has log rows matters, so the log is reduced to its
-    distinct item ids before the joins; the result rows are the same set."""
+    distinct item ids (and its creation rows to distinct dates) before the
+    joins; the result rows are the same set, and an item with a third of all
+    log rows adds one row, not a third of the log."""
     items = translog.filter(F.col("arinvt_id").isNotNull()).select("arinvt_id").distinct()
     a = arinvt.select(F.col("id").alias("arinvt_id"), "itemno", "descrip", "pk_hide", "standard_id")
     std = standard.select(F.col("id").alias("__std"), "mfgno")
     used = last_use(translog)
     rows = (items.join(a, "arinvt_id", "left")
-            .join(creation_dates(translog), "arinvt_id", "left")
+            .join(creation_dates(translog).distinct(), "arinvt_id", "left")
             .join(used, "arinvt_id", "left")
             .join(std, F.col("standard_id") == F.col("__std"), "left"))
     never = default_like(used, "recent_trans_date", "1900-01-01")
@@ -192,8 +194,29 @@ def unit_weight(shipment_packages: DataFrame, shipments: DataFrame, shipment_dtl
     the order lines shipped with it in proportion to the line quantity over
     the package's total shipped quantity; then per item
     sum(weight) / sum(quantity). The numerator uses the order-line quantity,
-    the denominator the shipment-line quantity."""
-    per_item = package_lines(shipment_packages, shipments, shipment_dtl, ord_detail).groupBy("arinvt_id").agg(
-        F.sum("distributed_weight").alias("total_weight"), F.sum("item_quantity").alias("total_quantity"))
-    return per_item.select(
+    the denominator the shipment-line quantity, and every package of a
+    shipment gets all of the shipment's lines.
+
+    The package x line pairs of a shipment are never built: with W the sum
+    of the shipment's package weights, n its package count and Q its total
+    shipped quantity (the same for each of its packages),
+      sum over pairs of w * (q / Q) = (W / Q) * sum(q)  and
+      sum over pairs of q           = n * sum(q),
+    so one aggregate per shipment and one per (shipment, item) give the
+    result in time linear in packages + lines, however many packages a hot
+    shipment has. (Package and shipment ids are keys.)"""
+    pk = (shipment_packages.join(shipments.select(F.col("id").alias("shipments_id")), "shipments_id")
+          .groupBy("shipments_id").agg(F.sum("actual_weight").alias("__w"), F.count(F.lit(1)).alias("__n")))
+    od = ord_detail.select(F.col("id").alias("order_dtl_id"), "arinvt_id", F.col("cumm_shipped").alias("__q"))
+    lines = shipment_dtl.select("shipments_id", "order_dtl_id", F.col("cumm_shipped").alias("__sq")).join(
+        od, "order_dtl_id")
+    shipped = lines.groupBy("shipments_id").agg(F.sum("__sq").alias("__Q"))
+    per_item = lines.groupBy("shipments_id", "arinvt_id").agg(F.sum("__q").alias("__qi"))
+    parts = per_item.join(pk, "shipments_id").join(shipped, "shipments_id").select(
+        "arinvt_id",
+        (F.col("__w") * (F.col("__qi") / F.nullif(F.col("__Q"), F.lit(0)))).alias("__tw"),
+        (F.col("__n") * F.col("__qi")).alias("__tq"))
+    totals = parts.groupBy("arinvt_id").agg(F.sum("__tw").alias("total_weight"),
+                                            F.sum("__tq").alias("total_quantity"))
+    return totals.select(
         "arinvt_id", (F.col("total_weight") / F.nullif(F.col("total_quantity"), F.lit(0))).alias("weight_per_unit"))

@@ -83,6 +83,30 @@ def test_unit_weight_conserves_package_weight(spark):
     assert abs(w[7] * 5 + w[8] * 3 - 130.0) < 1e-9  # all package weight is spread
 
 
+def test_unit_weight_several_packages_per_shipment(spark):
+    """Every package of a shipment gets all its lines (pairs semantics),
+    checked against a brute-force pairs computation."""
+    sp = spark.createDataFrame([(1, 100, 10.0), (2, 100, 30.0), (3, 200, None), (4, 200, 8.0), (5, 300, 5.0)],
+                               "id long, shipments_id long, actual_weight double")
+    s = spark.createDataFrame([(100,), (200,), (300,)], "id long")
+    sd = spark.createDataFrame([(100, 1, 2.0), (100, 2, 6.0), (200, 3, 4.0), (200, 4, None), (300, 5, 0.0)],
+                               "shipments_id long, order_dtl_id long, cumm_shipped double")
+    od = spark.createDataFrame([(1, 7, 1.0), (2, 8, 3.0), (3, 7, 2.0), (4, 8, 5.0), (5, 7, 4.0)],
+                               "id long, arinvt_id long, cumm_shipped double")
+    got = dict(rows(I.unit_weight(sp, s, sd, od)))
+    packages = [(1, 100, 10.0), (2, 100, 30.0), (3, 200, None), (4, 200, 8.0), (5, 300, 5.0)]
+    lines = {100: [(2.0, 7, 1.0), (6.0, 8, 3.0)], 200: [(4.0, 7, 2.0), (None, 8, 5.0)], 300: [(0.0, 7, 4.0)]}
+    tw, tq = {}, {}
+    for _, ship, w in packages:
+        total = sum(x[0] for x in lines[ship] if x[0] is not None)
+        for _, item, q in lines[ship]:
+            if w is not None and total:
+                tw[item] = tw.get(item, 0.0) + w * (q / total)
+            tq[item] = tq.get(item, 0.0) + q
+    for item in (7, 8):
+        assert abs(got[item] - tw[item] / tq[item]) < 1e-9
+
+
 def test_bom_selection(spark):
     c = spark.createDataFrame([
         (1, "A1", 10, None), (2, "A2", 20, "Default"), (2, "A2", 21, None), (3, "A3", 30, None), (3, "A3", 31, None),
