@@ -124,7 +124,7 @@ EXCLUDED_ITEM_IDS = (206081, 206079, 206100, 206099, 206085)
 # Transaction types.
 NEW_ITEM = "NEW ITEM"
 USE_TRANSACTIONS = ("PROCESS WIP", "PACKING SLIP")
-NEVER_USED = _dt.datetime(1900, 1, 1)
+NEVER_USED = "1900-01-01"
 # Inactive purchased items: created before CREATED_BEFORE with at most
 # MAX_TRANSACTIONS transactions, or last moved before LAST_MOVED_BEFORE with
 # nothing on hand.

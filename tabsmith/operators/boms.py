@@ -49,7 +49,7 @@ def candidate_boms(assemblies: DataFrame, partno: DataFrame, arinvt: DataFrame,
             .join(items, F.col("assembly_id") == F.col("__item"), "left")
             .join(boms.filter(keep), F.col("standard_id") == F.col("bom_id"), "inner")
             .join(uses.withColumnRenamed("standard_id", "__bom"), F.col("bom_id") == F.col("__bom"), "left"))
-    never = default_like(uses, "__last_use", "1900-01-01")
+    never = default_like(uses, "__last_use", fixed.NEVER_USED)
     return rows.select(
         "assembly_id", "assembly_item_num", "assembly_item_descrip", "bom_id",
         F.when(F.col("__item_bom") == F.col("bom_id"), F.lit(fixed.BOM_DEFAULT)).alias("is_bom_default"),

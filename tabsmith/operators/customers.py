@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabsmith.functions import fixed
-from tabsmith.operators.relational import distinct_union, rank_within, union_all
+from tabsmith.operators.relational import distinct_union, priority_pick, rank_within, union_all
 
 
 def crm_customer_activity(crm_activity: DataFrame) -> DataFrame:
@@ -53,12 +53,12 @@ def industry_pick(universe: DataFrame, crm_opportunity: DataFrame, opportunity_u
     """One industry per customer that has a single-occurrence industry: any
     industry of any of its opportunities, non-null first, ties broken by the
     smallest name. The single-occurrence pairs only gate which customers get
-    one. Computed as a grouped ``min`` rather than a ranked fan-out of
-    pairs x opportunities."""
+    one. Computed as a grouped priority pick (min of a struct) rather than a
+    ranked fan-out of pairs x opportunities."""
     gate = single_occurrence_category(universe, crm_opportunity, opportunity_udf).select("arcusto_id")
-    return (customer_opportunity_industries(crm_opportunity, opportunity_udf)
-            .join(gate.distinct(), "arcusto_id", "left_semi")
-            .groupBy("arcusto_id").agg(F.min("industry").alias("industry")))
+    gated = customer_opportunity_industries(crm_opportunity, opportunity_udf).join(gate, "arcusto_id", "left_semi")
+    non_null_first = F.when(F.col("industry").isNotNull(), 1).otherwise(2)
+    return priority_pick(gated, ["arcusto_id"], [non_null_first, F.col("industry")], ["industry"])
 
 
 def address_usage(universe: DataFrame, sources: list[tuple[DataFrame, bool]], address_col: str,

@@ -140,7 +140,7 @@ def stale_items(translog: DataFrame, arinvt: DataFrame, standard: DataFrame,
             .join(creation_dates(translog).distinct(), "arinvt_id", "left")
             .join(used, "arinvt_id", "left")
             .join(std, F.col("standard_id") == F.col("__std"), "left"))
-    never = default_like(used, "recent_trans_date", "1900-01-01")
+    never = default_like(used, "recent_trans_date", fixed.NEVER_USED)
     recent = F.coalesce(F.col("recent_trans_date"), never)
     old = (F.col("itemno").isNotNull() & (F.col("item_creation_date") < F.lit(stale_before))
            & (recent < F.lit(stale_before)))

@@ -6,7 +6,6 @@ execution and resolves the shared folder used to cut lineage.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -70,8 +69,3 @@ def shared_dir(spark: SparkSession) -> str:
 def stage_path(spark: SparkSession, name: str) -> str:
     """Unique path below the shared folder for one written stage."""
     return f"{shared_dir(spark)}/stages/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_master() -> str:
-    cpus = os.environ.get("BENCH_CPUS") or os.environ.get("TABSMITH_CPUS") or "*"
-    return f"local[{cpus}]"
