@@ -41,7 +41,7 @@ VENDORS = {"vendor": "vendor", "po": "v_po", "remit_to": "remit_to", "terms": "t
 ITEMS = {"dim_inventory": "dim_inventory", "arinvt": "arinvt", "po": "po", "po_hist": "po",
          "po_detail": "po_detail", "po_detail_hist": "po_detail_hist", "translog": "translog",
          "arinvt_vendors": "arinvt_vendors", "arinvt_vendors_breaks": "arinvt_vendors_breaks",
-         "netsuite_item_class": "netsuite_item_class", "ord_detail": "ord_detail",
+         "item_class_ids": "item_class_ids", "ord_detail": "ord_detail",
          "hist_ord_detail": "hist_ord_detail", "orders": "i_orders", "hist_orders": "i_orders",
          "crm_quote": "crm_quote", "crm_quote_detail": "crm_quote_detail",
          "shipment_packages": "shipment_packages", "shipments": "shipments", "shipment_dtl": "shipment_dtl",
@@ -283,7 +283,7 @@ def item_class(spark, root):
     t = _items(spark, root)
     rows = tabs._with_class(t["dim_inventory"], t)
     return rows.select("inventory_id", "product_group", "product_model",
-                       F.col("__class_name").alias("netsuite_class"), F.col("netsuite_id").alias("class"))
+                       F.col("__class_name").alias("class_name"), F.col("class_id").alias("class"))
 
 
 @query

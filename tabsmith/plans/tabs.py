@@ -6,7 +6,7 @@ Table names expected in the mapping: orders, hist_orders, arinvoice, rma,
 crm_activity, crm_opportunity, v_ud_crm_opportunity, arcusto, terms, bill_to,
 ship_to, vendor, po, remit_to, states, dim_employees, glacct,
 vendors_cleaned, dim_inventory, arinvt, po_detail, po_detail_hist, po_hist,
-translog, arinvt_vendors, arinvt_vendors_breaks, netsuite_item_class,
+translog, arinvt_vendors, arinvt_vendors_breaks, item_class_ids,
 ord_detail, hist_ord_detail, crm_quote, crm_quote_detail,
 shipment_packages, shipments, shipment_dtl, standard, partno, ptoper, sndop,
 opmat, serialized_assembly_items, non_serialized_assembly_items,
@@ -208,7 +208,7 @@ def _with_item(dim: DataFrame, t: Tables, cols) -> DataFrame:
 
 
 def _with_class(rows: DataFrame, t: Tables) -> DataFrame:
-    cls = t["netsuite_item_class"].select(F.col("product_group").alias("__class"), "netsuite_id")
+    cls = t["item_class_ids"].select(F.col("product_group").alias("__class"), "class_id")
     named = rows.withColumn("__class_name", T.item_class(F.col("product_group"), F.col("product_model")))
     return named.join(bounded_broadcast(cls, 10_000), F.col("__class_name") == F.col("__class"), "left")
 
@@ -230,7 +230,7 @@ def purchase_inventory_tab(t: Tables, **kw) -> DataFrame:
         F.col("item_description").alias("sales_description"),
         _lit(fixed.SUBSIDIARY, "subsidiary"), _lit("FALSE", "include_children"),
         *_unit_columns(F.col("unit_of_measure"), F.col("unit"), F.col("__po_unit")),
-        F.col("netsuite_id").alias("class"),
+        F.col("class_id").alias("class"),
         _lit("Raw Material", "cost_category"), _null("planning_item_category"), _lit("TRUE", "use_bins"),
         _lit(fixed.REPLENISHMENT, "replenishment_method"), _lit("TRUE", "match_bill_to_receipt"),
         _lit(fixed.ASSET_ACCOUNT, "asset_account"), _lit(fixed.INCOME_ACCOUNT, "income_account"),
@@ -313,7 +313,7 @@ def assembly_inventory_tab(t: Tables, **kw) -> DataFrame:
         F.col("item_description").alias("description"),
         _lit(fixed.SUBSIDIARY, "subsidiary"), _lit("FALSE", "include_children"),
         *_unit_columns(F.col("unit_of_measure"), F.col("unit"), F.col("__po_unit")),
-        F.col("netsuite_id").alias("class"),
+        F.col("class_id").alias("class"),
         _null("preferred_location"), _lit("Sub-Assembly", "cost_category"), _null("round_up_quantity"),
         _null("planning_item_category"), _lit("TRUE", "use_bins"),
         _lit(fixed.REPLENISHMENT, "replenishment_method"), _lit("TRUE", "match_bill_to_receipt"),

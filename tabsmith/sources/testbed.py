@@ -372,7 +372,7 @@ _add(View("shipment_packages", "orders", (
 _add(View("shipments", "orders", (("id", "o_orderkey"),)))
 _add(View("shipment_dtl", "lineitem", (
     ("shipments_id", "l_orderkey"), ("order_dtl_id", _LINE_ID), ("cumm_shipped", "l_quantity"))))
-_add(View("netsuite_item_class", "", (("product_group", None), ("netsuite_id", None)), values=CLASS_IDS))
+_add(View("item_class_ids", "", (("product_group", None), ("class_id", None)), values=CLASS_IDS))
 
 # ------------------------------------------------------ BOMs and routings
 _add(View("standard", "part_supplier_pairs", (
