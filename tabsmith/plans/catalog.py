@@ -207,6 +207,14 @@ def default_address_rank(spark, root):
     return r.select("bill_to_id", "external_id", "order_count", "rn")
 
 
+@query
+def address_rank_true_totals(spark, root):
+    """Default-address ranking with true usage totals (sources added up,
+    equal counts from two sources not merged)."""
+    r = tabs.ranked_addresses(_cust(spark, root), "bill_to", union_all_sources=True)
+    return r.select("bill_to_id", "external_id", "order_count", "rn")
+
+
 @query
 def tab_bill_to(spark, root):
     return tabs.customer_address_tab(_cust(spark, root), "bill_to")
@@ -217,6 +225,12 @@ def tab_ship_to(spark, root):
     return tabs.customer_address_tab(_cust(spark, root), "ship_to")
 
 
+@query
+def tab_ship_to_default_shipping(spark, root):
+    """Ship-to tab with the most used address marked default shipping."""
+    return tabs.customer_address_tab(_cust(spark, root), "ship_to", fix_ship_to_defaults=True)
+
+
 @query
 def tab_customer_addresses(spark, root):
     return tabs.customer_own_address_tab(_cust(spark, root))
