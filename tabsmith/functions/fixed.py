@@ -24,6 +24,12 @@ COMPONENT_YIELD = "100"
 ITEM_SOURCE = "STOCK"
 REVISION_START = "05/04/1900"
 WEIGHT_UOM = "lb"
+PURCHASED_COST_CATEGORY = "Raw Material"
+ASSEMBLY_COST_CATEGORY = "Sub-Assembly"
+PURCHASED_SUPPLY_TYPE = "Purchase"
+ASSEMBLY_SUPPLY_TYPE = "Build"
+LOT_FOR_LOT = "Lot For Lot"
+MINIMUM_ORDER_QUANTITY = "Minimum Order Quantity"
 
 # Phone numbers: an international number starts with "+" or "00".
 INTERNATIONAL_PREFIX = r"^(\+|00)"
@@ -33,6 +39,8 @@ US_NAME = "United States"
 
 # Credit hold.
 CREDIT_HOLD_STATUS = "Cr Hold"
+HOLD_ON = "On"
+HOLD_AUTO = "Auto"
 # Channel segment that never gets a market industry.
 DEALER_SEGMENTS = ("DEALER",)
 # CRM rows that describe a customer.

@@ -55,5 +55,5 @@ def zero_to_null(x: Column) -> Column:
 
 def lot_sizing(unit: Column) -> Column:
     """``Minimum Order Quantity`` unless the unit is EACH or unknown."""
-    return F.when(~unit.isin(*fixed.LOT_FOR_LOT_UNITS), F.lit("Minimum Order Quantity")).otherwise(
-        F.lit("Lot For Lot"))
+    return F.when(~unit.isin(*fixed.LOT_FOR_LOT_UNITS), F.lit(fixed.MINIMUM_ORDER_QUANTITY)).otherwise(
+        F.lit(fixed.LOT_FOR_LOT))

@@ -15,7 +15,7 @@ def flag_text(cond: Column, yes: str = "TRUE", no: str = "FALSE") -> Column:
 
 
 def credit_hold(status: Column) -> Column:
-    return F.when(status == fixed.CREDIT_HOLD_STATUS, F.lit("On")).otherwise(F.lit("Auto"))
+    return F.when(status == fixed.CREDIT_HOLD_STATUS, F.lit(fixed.HOLD_ON)).otherwise(F.lit(fixed.HOLD_AUTO))
 
 
 def on_hold_since(status: Column, status_date: Column) -> Column:

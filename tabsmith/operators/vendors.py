@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabsmith import functions as T
+from tabsmith.functions import fixed
 
 
 def vendor_remit_pairs(po: DataFrame, vendor_ids=None) -> DataFrame:
@@ -101,7 +102,7 @@ def format_vendor_rows(rows: DataFrame) -> DataFrame:
         T.country(c("r_country")).alias("address_2_country"),
         null.alias("address_2_default_shipping"),
         null.alias("address_2_default_billing"),
-        F.lit("US Dollar").alias("currency"),
+        F.lit(fixed.CURRENCY).alias("currency"),
         T.initcap_lower(c("terms_description")).alias("terms"),
         null.alias("incoterm"),
         c("v_fed_tax_id").alias("tax_id"),

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabsmith import functions as T
+from tabsmith.functions import fixed
 from tabsmith.operators import boms as B
 from tabsmith.operators import customers as C
 from tabsmith.operators import items as I
@@ -378,7 +379,7 @@ def package_lines(spark, root):
 def location_settings(spark, root):
     t = _items(spark, root)
     rows = tabs._with_item(t["dim_inventory"], t, ["safety_stock"])
-    return rows.select(F.col("inventory_id").alias("external_id"), *tabs._location_columns("Purchase"))
+    return rows.select(F.col("inventory_id").alias("external_id"), *tabs._location_columns(fixed.PURCHASED_SUPPLY_TYPE))
 
 
 @query

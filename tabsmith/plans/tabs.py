@@ -231,7 +231,7 @@ def purchase_inventory_tab(t: Tables, **kw) -> DataFrame:
         _lit(fixed.SUBSIDIARY, "subsidiary"), _lit("FALSE", "include_children"),
         *_unit_columns(F.col("unit_of_measure"), F.col("unit"), F.col("__po_unit")),
         F.col("class_id").alias("class"),
-        _lit("Raw Material", "cost_category"), _null("planning_item_category"), _lit("TRUE", "use_bins"),
+        _lit(fixed.PURCHASED_COST_CATEGORY, "cost_category"), _null("planning_item_category"), _lit("TRUE", "use_bins"),
         _lit(fixed.REPLENISHMENT, "replenishment_method"), _lit("TRUE", "match_bill_to_receipt"),
         _lit(fixed.ASSET_ACCOUNT, "asset_account"), _lit(fixed.INCOME_ACCOUNT, "income_account"),
         _lit(fixed.COGS_ACCOUNT, "cogs_account"), _lit(fixed.TAX_SCHEDULE, "tax_schedule"),
@@ -256,7 +256,7 @@ def purchase_locations_tab(t: Tables, **kw) -> DataFrame:
     """Location settings of the purchased items. (Five unnamed null
     columns of the source template are left out.)"""
     rows = _with_item(active_purchased_items(t, **kw), t, ["safety_stock"])
-    return rows.select(F.col("inventory_id").alias("external_id"), *_location_columns("Purchase"),
+    return rows.select(F.col("inventory_id").alias("external_id"), *_location_columns(fixed.PURCHASED_SUPPLY_TYPE),
                        _null("location_1_classification"))
 
 
@@ -314,7 +314,7 @@ def assembly_inventory_tab(t: Tables, **kw) -> DataFrame:
         _lit(fixed.SUBSIDIARY, "subsidiary"), _lit("FALSE", "include_children"),
         *_unit_columns(F.col("unit_of_measure"), F.col("unit"), F.col("__po_unit")),
         F.col("class_id").alias("class"),
-        _null("preferred_location"), _lit("Sub-Assembly", "cost_category"), _null("round_up_quantity"),
+        _null("preferred_location"), _lit(fixed.ASSEMBLY_COST_CATEGORY, "cost_category"), _null("round_up_quantity"),
         _null("planning_item_category"), _lit("TRUE", "use_bins"),
         _lit(fixed.REPLENISHMENT, "replenishment_method"), _lit("TRUE", "match_bill_to_receipt"),
         _null("phantom"), _lit("FALSE", "special_work_order_item"), _lit("TRUE", "offer_support"),
@@ -329,7 +329,7 @@ def assembly_locations_tab(t: Tables, **kw) -> DataFrame:
     Built from the kept assembly rows; the T9 enrichment (units, class,
     weight) does not change which items are exported, so it is not rerun."""
     rows = _with_item(assembly_items_kept(t, **kw), t, ["safety_stock"])
-    return rows.select(F.col("inventory_id").alias("external_id"), *_location_columns("Build"))
+    return rows.select(F.col("inventory_id").alias("external_id"), *_location_columns(fixed.ASSEMBLY_SUPPLY_TYPE))
 
 
 def assembly_item_vendors_tab(t: Tables, **kw) -> DataFrame:
