@@ -22,6 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabsmith.functions import fixed
 from tabsmith.sources.tables import DRIVER_TABLES, read_table
 
 
@@ -97,36 +98,20 @@ def _po_unit(k: str) -> str:
     )
 
 
-# Product groups and models chosen so that every item-class rule fires,
-# including the model listed under two classes and the "no class" models.
-_GROUP_BY_TYPE = (
-    ("STANDARD", "Pallet Jacks - Parts"),
-    ("PROMO", "Electric Vehicles - F&H"),
-    ("ECONOMY", "Trailers - Parts"),
-    ("MEDIUM", "Trailers - F&H"),
-    ("SMALL", "Electric Vehicles - Parts"),
-    ("LARGE", "Service Kits"),
-)
-_MODEL_BY_BRAND = (
-    "BC-520 Series", "BCT-9000 NXG Series", "Mall Train", "SC-850 Series", "PC-300 Series",
-    "PCT-3500 Series", "PMT-4500 Series", "PMT-6000 Series", "Double Fork Pallet Jack",
-    "High Capacity Pallet Jack", "Towable Pallet Jack", "Narrow Fork Pallet Jack",
-    "Skid Truck Pallet Jack", "Shipboard Pallet Jack", "DC-2000 Towable Cart", "Modular Cart",
-    "TOP-1500 Towable Cart", "DP-3/4000 Towable Cart", "Unknown Model", "SP-2500 Towable Cart",
-    "Coke Pallet Jack", "Not a Finished Good", "Custom Build", "Sprinter NXG Series", "PCT-3500 NXG Series",
-)
-_CENTER_TYPES = (
-    "FINAL ASSY", "WORK_CELL", "ASSY", "SHIPPING", "KITTING", "FINAL ASSEMBLY-PJ", "PRE PAINT ASSY",
-    "QUALITY", "INSPECTION TRAILER", "INSPECTION EV", "INSPECTION PJ", "INSPECTION", "TRAILER ASSEMBLY",
-    "FOAM FILLING", "PAINT", "SAW", "DRILL", "MACHINING", "WELD", "OTHER",
-)
+# Test values derived from the fixed rule tables so every rule fires: product
+# types map onto the purchased product groups (plus one group outside them);
+# brands map onto the first model of every class rule, the second model of
+# some (the model listed under two classes and the "no class" models among
+# them) and one model outside all rules.
+_TYPES = ("STANDARD", "PROMO", "ECONOMY", "MEDIUM", "SMALL", "LARGE")
+_GROUP_BY_TYPE = tuple(zip(_TYPES, fixed.PURCHASED_GROUPS[:5] + ("Service Kits",)))
+_RULE_MODELS = [models for models, _ in fixed.MODEL_CLASS_RULES]
+_MODEL_BY_BRAND = tuple([m[0] for m in _RULE_MODELS] + [_RULE_MODELS[i][1] for i in (0, 1, 2, 3, 6, 7, 14)]
+                        + ["Custom Build"])
+_CENTER_TYPES = tuple(t for types, _ in fixed.WORK_CENTERS for t in types) + ("OTHER",)
 # Class-name -> target class id lookup (hand-maintained in the ERP).
-CLASS_IDS = (
-    ("Parts", "101"), ("Burden Carrier", "102"), ("Stock Chaser", "103"), ("Personnel Carrier", "104"),
-    ("Tugger", "105"), ("PJ Double Fork", "106"), ("PJ High Capacity", "107"), ("PJ Roll/Reel Truck", "108"),
-    ("PJ Single Fork", "109"), ("PJ Skid Truck", "110"), ("Navy Shipboard", "111"), ("Delivery Cart", "112"),
-    ("Cargo Cart", "113"), ("TOP Cart", "114"), ("Double Pallet", "115"), ("Single Pallet", "116"),
-)
+CLASS_IDS = tuple((name, str(101 + i)) for i, name in enumerate(
+    dict.fromkeys([fixed.PARTS_CLASS] + [c for _, c in fixed.MODEL_CLASS_RULES if c])))
 
 
 def _case_map(col: str, pairs) -> str:

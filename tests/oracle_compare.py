@@ -81,7 +81,8 @@ def main() -> None:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = set(sys.argv[2].split(",")) if len(sys.argv) > 2 else None
-    spark = build_session("local[8]", 8)
+    # a long run of queries in one JVM: give the local driver a real heap
+    spark = build_session("local[8]", 8, extra={"spark.driver.memory": "8g"})
     con = duck(sf_dir)
     qs, sqls = queries(), oracle_sql()
     bad = 0
