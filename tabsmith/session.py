@@ -33,18 +33,26 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tabsmith",
+LOCAL_SHUFFLE_PARTITIONS = 8
+
+
+def build_session(master: str | None = "local[*]", shuffle_partitions: int | None = None, app: str = "tabsmith",
                   extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the package defaults.
 
-    On a cluster the master and memory come from spark-submit; pass
-    ``master=None`` there.
+    On a cluster the master, the memory and the number of shuffle partitions
+    come from spark-submit: pass ``master=None`` there. The partition count is
+    written only where the caller gives one, or on a local master without one
+    (``LOCAL_SHUFFLE_PARTITIONS``).
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+        if shuffle_partitions is None and master.startswith("local["):
+            shuffle_partitions = LOCAL_SHUFFLE_PARTITIONS
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -56,13 +64,17 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 def shared_dir(spark: SparkSession) -> str:
     """Folder for stages and checkpoints, shared by every executor.
 
-    Read from ``spark.checkpoint.dir`` as the cluster names it. Only when it
-    is unset (local tests) a fresh folder is created and registered, so the
-    job never writes to a machine-local folder behind the cluster's back.
+    Read from ``spark.checkpoint.dir`` as the cluster names it. Where it is
+    unset, a single-process master (``local`` or ``local[n]``) gets a fresh
+    folder; on any other master that would be a folder only one machine sees,
+    so it is an error there.
     """
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all machines of {master} share")
         path = tempfile.mkdtemp(prefix="tabsmith-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -73,3 +85,9 @@ def shared_dir(spark: SparkSession) -> str:
 def stage_path(spark: SparkSession, name: str) -> str:
     """Unique path below the shared folder for one written stage."""
     return f"{shared_dir(spark)}/stages/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_stage(spark: SparkSession, path: str) -> None:
+    """Delete one written stage once nothing reads it any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
