@@ -3,26 +3,56 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabsmith.llm import mixing, url_filter
+from tabsmith.llm import html_extract, mixing, packing, url_filter, vector_search
 from tabsmith.llm.common import read_table
 
 ALLOW_RULES = ("org/", "com/fr/")
 BLOCK_RULES = ("example.org/es/", "example.org/en/1", "com/de/")
 
 
+SEARCH_TOP = 5
+QUERY_EVERY = 50
+PACK_TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str) -> str:
+    """Path of one of the installed public tokenizer files."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = vector_search.quantised(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    return vector_search.search(vectors, F.col("vec_id") % QUERY_EVERY == 0, SEARCH_TOP)
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "source")
     return mixing.mix_sizes(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.pack(docs, tokenizer_path(PACK_TOKENIZER))
+
+
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages", "page_id", "url")
     return url_filter.judge_urls(pages, ALLOW_RULES, BLOCK_RULES)
 
 
 LLM_QUERIES = {
+    "op1_vector_search": op1_vector_search,
     "op2_mix_sources": op2_mix_sources,
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_html_extract": op4_html_extract,
     "op5_url_filter": op5_url_filter,
 }
 
