@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +15,23 @@ DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def let_workers_import(spark: SparkSession) -> None:
+    """Put the folder that holds the package on the Python path of this session's workers.
+
+    On a cluster the package comes with ``--py-files``; the extra entry is then idle.
+    """
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if PACKAGE_ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, PACKAGE_ROOT])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """One table of the data folder, through Spark's reader only, cut to the named columns."""
+    let_workers_import(spark)
     table = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return table.select(*columns) if columns else table
 
