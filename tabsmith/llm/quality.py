@@ -7,8 +7,9 @@ score into grades: ``P(grade > j) = logistic(w.x - threshold[j])``. Expected
 grade and tail probability ``P(grade >= g)`` select documents.
 
 Fitted on a bounded sample of rated rows (at most ``SAMPLE_ROWS``, dealt evenly
-over the grades in hash order); words are kept that occur in ``MIN_DOCUMENTS``
-of the sample. Every document is scored from its whole text.
+over the grades in hash order, near copies of a sampled text left out); features
+are kept that occur in ``MIN_DOCUMENTS`` of the sample and unevenly over the
+grades. Every document is scored from its whole text.
 
 Cases: a null text is empty and scored as such; without two grades to learn
 from every document gets the one grade there is (or the lowest, 0), and tail
@@ -27,18 +28,18 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BITS = 16             # hashed word cells: 2 ** BITS
+BITS = 20             # hashed word cells: 2 ** BITS
 SHAPE_BINS = 12       # bins of each shape measure
 SAMPLE_ROWS = 6000    # rated rows that the classifier is fitted on, at most
 MIN_DOCUMENTS = 8     # of the sample that a feature must occur in
-MIN_CHI_SQUARED = 25.0  # of a feature against the grades
-SHRINK = 2e-4         # L2 penalty of the weights
-SHAPE_VALUE = 2.0
+MIN_CHI_SQUARED = 40.0  # of a feature against the grades
+MIN_LIFT = 2.0        # of some grade among the documents that have the feature; common words stay below
+SHRINK = 1e-3         # L2 penalty of the weights
+SHAPE_VALUE = 4.0   # of a shape measure against 1 of a word: there are few of them
 STEPS = 250
 START_GAP = 2.0       # first distance between thresholds
-LEARNING_RATE = 0.05
 MIN_TAIL = 0.5        # a stage that keeps good documents rejects below it
-STRIPPED = b".,;:!?\"'()[]{}<>|*#-_"
+STRIPPED = b".,;:!?\"'()[]{}<>|*#-_$%&@=+~^/\\`"
 
 
 def _bin(share: float) -> int:
@@ -110,11 +111,12 @@ def telling(cells: np.ndarray, grade: np.ndarray, sizes: np.ndarray) -> np.ndarr
     total = seen.sum(axis=0)
     expected = np.maximum(sizes[:, None] * total / n, 1e-9)
     chi_squared = ((seen - expected) ** 2 / expected).sum(axis=0) / np.maximum(1.0 - total / n, 1e-3)
-    return (total >= min(MIN_DOCUMENTS, max(1, n // 20))) & (chi_squared >= MIN_CHI_SQUARED)
+    lift = (seen / expected).max(axis=0)
+    return (total >= min(MIN_DOCUMENTS, max(1, n // 20))) & (chi_squared >= MIN_CHI_SQUARED) & (lift >= MIN_LIFT)
 
 
 def fit_sample(rows: list[np.ndarray], ratings: list[int]) -> OrdinalModel:
-    """Model from feature sets and ratings, by gradient steps with momentum (Adam)."""
+    """Model from feature sets and ratings, by maximum penalised likelihood."""
     grades = np.array(sorted(set(ratings)), dtype=np.float64)
     if len(grades) < 2:
         return OrdinalModel(grades if len(grades) else np.zeros(1), np.zeros(0), np.zeros(N_FEATURES))
@@ -126,31 +128,67 @@ def fit_sample(rows: list[np.ndarray], ratings: list[int]) -> OrdinalModel:
     cells, values, row = cells[keep], values[keep], row[keep]
     # every grade weighs the same, as the sample is dealt and not drawn
     importance = (n / k / np.bincount(y, minlength=k))[y]
-    # a document without telling features starts in the highest grade; faults lower it
-    p = np.concatenate([np.zeros(N_FEATURES), [-START_GAP * (k - 1)], np.full(k - 2, np.log(START_GAP))])
-    m, v = np.zeros_like(p), np.zeros_like(p)
-    for step in range(1, STEPS + 1):
-        widths = np.exp(p[N_FEATURES + 1:])
-        cuts = p[N_FEATURES] + np.concatenate([[0.0], np.cumsum(widths)])
-        z = np.bincount(row, weights=p[cells] * values, minlength=n)
+    used, place = np.unique(cells, return_inverse=True)
+    size = len(used)
+
+    def loss(p: np.ndarray) -> tuple[float, np.ndarray]:
+        """Penalised negative log-likelihood and its gradient; p: weights, first threshold, log gaps."""
+        widths = np.exp(p[size + 1:])
+        cuts = p[size] + np.concatenate([[0.0], np.cumsum(widths)])
+        z = np.bincount(row, weights=p[place] * values, minlength=n)
         above = _logistic(z[:, None] - cuts)                      # n x (k - 1)
         full = np.hstack([np.ones((n, 1)), above, np.zeros((n, 1))])
-        chance = np.maximum(full[np.arange(n), y] - full[np.arange(n), y + 1], 1e-9)
+        chance = np.maximum(full[np.arange(n), y] - full[np.arange(n), y + 1], 1e-12)
         slope = np.hstack([np.zeros((n, 1)), above * (1 - above), np.zeros((n, 1))])
         scale = importance / chance / n
-        upper, lower = slope[np.arange(n), y], slope[np.arange(n), y + 1]
-        by_score = -(upper - lower) * scale
+        upper, lower = slope[np.arange(n), y] * scale, slope[np.arange(n), y + 1] * scale
         by_cut = np.zeros((n, k + 1))
-        by_cut[np.arange(n), y] += upper * scale
-        by_cut[np.arange(n), y + 1] -= lower * scale
-        cut_gradient = by_cut[:, 1:k].sum(axis=0)
+        by_cut[np.arange(n), y] += upper
+        by_cut[np.arange(n), y + 1] -= lower
+        by_cut = by_cut[:, 1:k].sum(axis=0)
         gradient = np.concatenate([
-            np.bincount(cells, weights=by_score[row] * values, minlength=N_FEATURES) + SHRINK * p[:N_FEATURES],
-            [cut_gradient.sum()], np.cumsum(cut_gradient[::-1])[::-1][1:] * widths])
-        m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient ** 2
-        p -= LEARNING_RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    cuts = p[N_FEATURES] + np.concatenate([[0.0], np.cumsum(np.exp(p[N_FEATURES + 1:]))])
-    return OrdinalModel(grades, cuts, p[:N_FEATURES])
+            np.bincount(place, weights=(lower - upper)[row] * values, minlength=size) + SHRINK * p[:size],
+            [by_cut.sum()], np.cumsum(by_cut[::-1])[::-1][1:] * widths])
+        return float(-(importance * np.log(chance)).sum() / n + SHRINK / 2 * (p[:size] @ p[:size])), gradient
+
+    # a document without telling features starts in the highest grade; faults lower it
+    p = minimise(loss, np.concatenate([np.zeros(size), [-START_GAP * (k - 1)], np.full(k - 2, np.log(START_GAP))]))
+    weights = np.zeros(N_FEATURES)
+    weights[used] = p[:size]
+    return OrdinalModel(grades, p[size] + np.concatenate([[0.0], np.cumsum(np.exp(p[size + 1:]))]), weights)
+
+
+def minimise(loss, p: np.ndarray) -> np.ndarray:
+    """Limited-memory quasi-Newton steps with backtracking."""
+    value, gradient = loss(p)
+    past: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(STEPS):
+        way = gradient.copy()
+        coefficients = []
+        for s, d, r in reversed(past):
+            coefficients.append(r * (s @ way))
+            way -= coefficients[-1] * d
+        if past:
+            s, d, _ = past[-1]
+            way *= (s @ d) / (d @ d)
+        for (s, d, r), c in zip(past, reversed(coefficients), strict=True):
+            way += (c - r * (d @ way)) * s
+        slope, step = way @ gradient, 1.0 if past else 1.0 / max(1.0, np.abs(gradient).sum())
+        while step > 1e-10:
+            new_value, new_gradient = loss(p - step * way)
+            if new_value <= value - 1e-4 * step * slope:
+                break
+            step /= 2
+        else:
+            break
+        s, d = -step * way, new_gradient - gradient
+        if s @ d > 1e-12:
+            past = [*past[-9:], (s, d, 1.0 / (s @ d))]
+        done = value - new_value < 1e-7 * abs(value)
+        p, value, gradient = p + s, new_value, new_gradient
+        if done:
+            break
+    return p
 
 
 def fit(docs: DataFrame, ratings: DataFrame, teaches: Column | None = None) -> OrdinalModel:
@@ -165,13 +203,28 @@ def fit(docs: DataFrame, ratings: DataFrame, teaches: Column | None = None) -> O
            .where(F.col("_turn") <= SAMPLE_ROWS).orderBy("_turn", "_key", "doc_id").limit(SAMPLE_ROWS).select("doc_id", "rating"))
     chosen = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # SAMPLE_ROWS rows at most
 
-    @F.pandas_udf("binary")
-    def cells_of(texts: pd.Series) -> pd.Series:
-        return pd.Series([features(t).tobytes() for t in texts], dtype=object)
-
-    rows = (chosen.select("doc_id", "rating", cells_of("text").alias("x"))
-            .groupBy("doc_id", "rating").agg(F.min("x").alias("x")).orderBy("doc_id").limit(SAMPLE_ROWS).collect())
-    return fit_sample([np.frombuffer(r["x"], dtype=np.int32) for r in rows], [r["rating"] for r in rows])
+    @F.pandas_udf("x binary, near_a long, near_b long")
+    def cells_of(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([(features(t).tobytes(), *near_keys(t)) for t in texts], columns=["x", "near_a", "near_b"])
+
+    rows = (chosen.select("doc_id", "rating", cells_of("text").alias("f"))
+            .groupBy("doc_id", "rating").agg(F.min("f").alias("f")).orderBy("doc_id").limit(SAMPLE_ROWS).collect())
+    seen: set = set()
+    cells, grades = [], []
+    for r in rows:  # a text that is copied many times is one piece of evidence
+        keys = {("a", r["f"]["near_a"]), ("b", r["f"]["near_b"])}
+        if not keys & seen:
+            cells.append(np.frombuffer(r["f"]["x"], dtype=np.int32))
+            grades.append(r["rating"])
+        seen |= keys
+    return fit_sample(cells, grades)
+
+
+def near_keys(text: str | None) -> tuple[int, int]:
+    """Two least shingle hashes: near copies share one of them most of the time."""
+    words = (text or "").encode("utf-8", "replace").lower().split()
+    shingles = {b" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))}
+    return min(map(zlib.crc32, shingles)), min(zlib.adler32(s, zlib.crc32(s) & 0xFFFF) ^ zlib.crc32(s) >> 7 for s in shingles)
 
 
 def with_quality(docs: DataFrame, model: OrdinalModel, least: float) -> DataFrame:

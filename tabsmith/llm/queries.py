@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import html_extract, mixing, packing, url_filter, vector_search
+from tabsmith.llm import html_extract, language_id, mixing, packing, quality, url_filter, vector_search
 from tabsmith.llm.common import read_table
 
 ALLOW_RULES = ("org/", "com/fr/")
@@ -48,12 +48,33 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, ALLOW_RULES, BLOCK_RULES)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+GOOD_GRADE = 2
+
+
+def graded_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, rating): 0 toxic, 1 of low quality, 2 neither; null where a label is missing."""
+    labels = read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    rating = F.when(F.col("toxic") == 1, 0).when((F.col("toxic") == 0) & (F.col("quality") == 0), 1)
+    return labels.select("doc_id", rating.when((F.col("toxic") == 0) & (F.col("quality") == 1), GOOD_GRADE).alias("rating"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return quality.grade(docs, graded_labels(spark, sf_dir), GOOD_GRADE)
+
+
 LLM_QUERIES = {
     "op1_vector_search": op1_vector_search,
     "op2_mix_sources": op2_mix_sources,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_html_extract": op4_html_extract,
     "op5_url_filter": op5_url_filter,
+    "op7_language_id": op7_language_id,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 LLM_ORACLE: dict[str, str] = {}
