@@ -39,6 +39,7 @@ SHAPE_VALUE = 4.0   # of a shape measure against 1 of a word: there are few of t
 STEPS = 250
 START_GAP = 2.0       # first distance between thresholds
 MIN_TAIL = 0.5        # a stage that keeps good documents rejects below it
+SECOND_HASH = 0x5BD1E995
 STRIPPED = b".,;:!?\"'()[]{}<>|*#-_$%&@=+~^/\\`"
 
 
@@ -224,7 +225,7 @@ def near_keys(text: str | None) -> tuple[int, int]:
     """Two least shingle hashes: near copies share one of them most of the time."""
     words = (text or "").encode("utf-8", "replace").lower().split()
     shingles = {b" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))}
-    return min(map(zlib.crc32, shingles)), min(zlib.adler32(s, zlib.crc32(s) & 0xFFFF) ^ zlib.crc32(s) >> 7 for s in shingles)
+    return min(map(zlib.crc32, shingles)), min(zlib.crc32(s, SECOND_HASH) for s in shingles)
 
 
 def with_quality(docs: DataFrame, model: OrdinalModel, least: float) -> DataFrame:

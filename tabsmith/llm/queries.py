@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import html_extract, language_id, mixing, packing, quality, url_filter, vector_search
+from tabsmith.llm import html_extract, language_id, mixing, near_dup, packing, quality, url_filter, vector_search
 from tabsmith.llm.common import read_table
 
 ALLOW_RULES = ("org/", "com/fr/")
@@ -48,6 +48,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, ALLOW_RULES, BLOCK_RULES)
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_groups(read_table(spark, sf_dir, "documents", "doc_id", "text"), words=3, percent=85)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
@@ -73,6 +77,7 @@ LLM_QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_html_extract": op4_html_extract,
     "op5_url_filter": op5_url_filter,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_language_id": op7_language_id,
     "op10_quality_classifier": op10_quality_classifier,
 }
