@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import html_extract, language_id, mixing, near_dup, packing, quality, url_filter, vector_search
+from tabsmith.llm import fingerprints, html_extract, language_id, mixing, near_dup, packing, quality, token_rollup, url_filter, vector_search
 from tabsmith.llm.common import read_table
+from tabsmith.session import stage_path
 
 ALLOW_RULES = ("org/", "com/fr/")
 BLOCK_RULES = ("example.org/es/", "example.org/en/1", "com/de/")
@@ -56,6 +57,26 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after three batches: all documents, the toxic ones deleted, those of low quality counted anew without signs."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
+    labels = read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic").where("doc_id is not null")
+    versions = {"byte_bpe_50k": tokenizer_path("byte_bpe_50k.json")}
+    toxic = labels.where("toxic = 1").select("doc_id").distinct()
+    poor = labels.where("quality = 0").select("doc_id").distinct().join(toxic, "doc_id", "left_anti")
+    revised = docs.join(poor, "doc_id", "left_semi").withColumn("text", F.regexp_replace("text", r"[|!#$%&*]+", ""))
+    rollup = token_rollup.TokenRollup(spark, stage_path(spark, "token-rollup"))
+    rollup.apply("1-load", token_rollup.counted(docs, versions, words="words"))
+    rollup.apply("2-toxic", deletes=toxic)
+    rollup.apply("3-revised", token_rollup.counted(revised, versions, words="words"))
+    rollup.apply("2-toxic", deletes=toxic)  # a batch that comes twice counts once
+    return rollup.totals()
+
+
 GOOD_GRADE = 2
 
 
@@ -79,6 +100,8 @@ LLM_QUERIES = {
     "op5_url_filter": op5_url_filter,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_language_id": op7_language_id,
+    "op8_fingerprints": op8_fingerprints,
+    "op9_token_counts": op9_token_counts,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
