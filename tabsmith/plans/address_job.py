@@ -9,6 +9,8 @@ no Python worker).
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,8 +37,19 @@ def missing_columns(df: DataFrame) -> list[str]:
     return [src for src, _, _ in CLEANERS if src not in set(df.columns)]
 
 
-def run(spark: SparkSession, input_path: str, output_path: str) -> DataFrame:
+def run(spark: SparkSession, input_path: str, output_path: str, multi_line: bool = True) -> DataFrame:
     """Read, clean, write; returns the cleaned DataFrame (lazy re-read-able)."""
-    df = clean_addresses(read_text_csv(spark, input_path))
+    df = clean_addresses(read_text_csv(spark, input_path, multi_line=multi_line))
     write_csv(df, output_path)
     return df
+
+
+def main(argv: list[str]) -> None:
+    """``python -m tabsmith.plans.address_job <input csv> <output folder> [--single-line]``"""
+    from tabsmith.session import build_session
+
+    run(build_session(master=None), argv[0], argv[1], multi_line="--single-line" not in argv[2:])
+
+
+if __name__ == "__main__":
+    main(sys.argv[1:])

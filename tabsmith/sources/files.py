@@ -7,14 +7,22 @@ from pyspark.sql import DataFrame, SparkSession
 from tabsmith.session import stage_path
 
 
-def read_text_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+#: RFC 4180: a quote inside a quoted field is doubled; blanks belong to the field.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def read_text_csv(spark: SparkSession, path: str, columns: list[str] | None = None, multi_line: bool = True) -> DataFrame:
     """Header CSV read with every column as a string. No type inference: a
     ZIP such as ``01234`` stays ``01234``. With ``columns`` the schema is
-    declared (no pass over the data to read the header names)."""
-    reader = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    declared (no pass over the data to read the header names).
+
+    ``multi_line`` allows line breaks inside quoted fields; a file is then
+    read by one task, so large inputs should come in many files, or be read
+    with ``multi_line=False`` where no field holds a line break. A malformed
+    row fails the job instead of being shifted."""
+    reader = spark.read.options(**CSV_OPTIONS).option("mode", "FAILFAST").option("multiLine", multi_line)
     if columns is not None:
-        reader = reader.schema(", ".join(f"`{c}` string" for c in columns))
+        reader = reader.schema(", ".join(f"`{c}` string" for c in columns)).option("enforceSchema", False)
     else:
         reader = reader.option("inferSchema", False)
     return reader.csv(path)
@@ -22,8 +30,7 @@ def read_text_csv(spark: SparkSession, path: str, columns: list[str] | None = No
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Header CSV, one folder of part files (no index column)."""
-    (df.write.mode(mode).option("header", True)
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def write_stage(df: DataFrame, name: str) -> str:

@@ -7,7 +7,6 @@ pushes filters into the parquet scan, so no explicit column list is needed.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -18,23 +17,3 @@ DRIVER_TABLES = (
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """``<root>/<name>.parquet`` (a file or a folder of part files)."""
     return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
-
-
-_PROVEN: dict = {}
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast a lookup only after proving it has at most ``max_rows`` rows.
-
-    The proof is a count over ``limit(max_rows + 1)``, so it stops early on a
-    big input; it is remembered per plan (same session, same semantic plan),
-    so a lookup reused by several tabs is counted once. Above the bound the
-    frame is returned unchanged and the join strategy is left to AQE, which
-    uses runtime sizes.
-    """
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
-    hit = _PROVEN.get(key)
-    if hit is None or not hit[0].sameSemantics(df):
-        hit = (df, df.limit(max_rows + 1).count() <= max_rows)
-        _PROVEN[key] = hit
-    return F.broadcast(df) if hit[1] else df

@@ -2,9 +2,9 @@
 files: each new file is cleaned once and appended to the output.
 
 The cleaning is the same projection as the batch job (stateless, no
-watermark needed). Progress is kept in a checkpoint below the cluster's
-shared folder, so a restarted or failed job resumes without re-reading or
-duplicating files.
+watermark needed). Progress is kept in the checkpoint folder that the caller
+names; a restarted or failed job that names the same one resumes without
+re-reading, skipping or duplicating files.
 """
 
 from __future__ import annotations
@@ -13,24 +13,24 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tabsmith.plans.address_job import clean_addresses
-from tabsmith.session import stage_path
+from tabsmith.sources.files import CSV_OPTIONS
 
 INPUT_COLUMNS = ("address", "city", "state", "zip")
 
 
-def start(spark: SparkSession, input_dir: str, output_dir: str, columns=INPUT_COLUMNS,
-          checkpoint: str | None = None, available_now: bool = True,
-          max_files_per_trigger: int = 1000) -> StreamingQuery:
-    """Start the stream. ``columns`` declares the CSV header (a stream needs
-    its schema up front; every column is read as text). With
-    ``available_now`` the query processes what is there and stops."""
+def start(spark: SparkSession, input_dir: str, output_dir: str, checkpoint: str, columns=INPUT_COLUMNS,
+          available_now: bool = True, max_files_per_trigger: int = 1000, multi_line: bool = True) -> StreamingQuery:
+    """Start the stream. ``checkpoint`` belongs to ``output_dir``: the output
+    keeps a log of its batches, so a new checkpoint with an old output would
+    skip files. ``columns`` declares the CSV header (a stream needs its schema
+    up front; every column is read as text, and a file with another header
+    fails). With ``available_now`` the query processes what is there and
+    stops."""
     schema = ", ".join(f"`{c}` string" for c in columns)
-    src = (spark.readStream.schema(schema).option("header", True)
-           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    src = (spark.readStream.schema(schema).options(**CSV_OPTIONS).option("mode", "FAILFAST")
+           .option("multiLine", multi_line).option("enforceSchema", False)
            .option("maxFilesPerTrigger", max_files_per_trigger).csv(input_dir))
-    writer = (clean_addresses(src).writeStream.format("csv").option("header", True)
-              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-              .option("checkpointLocation", checkpoint or stage_path(spark, "address_stream_ckpt"))
-              .outputMode("append"))
+    writer = (clean_addresses(src).writeStream.format("csv").options(**CSV_OPTIONS)
+              .option("checkpointLocation", checkpoint).outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start(output_dir)
