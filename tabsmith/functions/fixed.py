@@ -24,6 +24,8 @@ COMPONENT_YIELD = "100"
 ITEM_SOURCE = "STOCK"
 REVISION_START = "05/04/1900"
 WEIGHT_UOM = "lb"
+# Null columns that the location templates carry without a name.
+UNNAMED_LOCATION_COLUMNS = ("unnamed_1", "unnamed_2", "unnamed_3", "unnamed_4", "unnamed_5")
 PURCHASED_COST_CATEGORY = "Raw Material"
 ASSEMBLY_COST_CATEGORY = "Sub-Assembly"
 PURCHASED_SUPPLY_TYPE = "Purchase"

@@ -15,8 +15,9 @@ PY_SPACE = (
     "[\\t\\n\\x0b\\x0c\\r\\x1c\\x1d\\x1e\\x1f \\x85\\xa0\\u1680"
     "\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
 )
-# Python's "cased" characters: upper, lower and title case letters.
-_CASED = "\\p{Lu}\\p{Ll}\\p{Lt}"
+# Python's "cased" characters: upper, lower and title case letters, and signs
+# that have the upper- or lower-case property without being such letters.
+_CASED = "\\p{Lu}\\p{Ll}\\p{Lt}\\p{IsUppercase}\\p{IsLowercase}"
 # initcap() only starts a word after a blank, so a blank is planted after every
 # uncased character, initcap runs, and the planted blanks are taken out again.
 # The marker (a control character that never occurs in business text) tells
@@ -41,8 +42,8 @@ def _title_by_chars(c: Column) -> Column:
         F.transform(
             chars,
             lambda ch, i: F.when(
-                (i == 0) | (F.upper(chars[i - 1]) == F.lower(chars[i - 1])),
-                F.upper(ch),
+                (i == 0) | ~chars[i - 1].rlike(f"[{_CASED}]"),
+                F.initcap(ch),
             ).otherwise(F.lower(ch)),
         ),
         "",

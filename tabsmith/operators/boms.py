@@ -31,9 +31,10 @@ def candidate_boms(assemblies: DataFrame, partno: DataFrame, arinvt: DataFrame,
     (1900-01-01 when never used).
 
     The last use is aggregated per BOM before the join, so the log is never
-    multiplied by the part rows of a BOM. Repeated part rows need no dedup of
-    their own: the final distinct removes the rows they repeat."""
-    parts = partno.select("arinvt_id", "standard_id")
+    multiplied by the part rows of a BOM. Repeated part rows are reduced to
+    distinct (item, BOM) pairs before any text is attached; item and BOM ids
+    are keys of their masters, so no row repeats after that."""
+    parts = partno.select("arinvt_id", "standard_id").distinct()
     asm = assemblies.select(F.col("external_id").alias("assembly_id"),
                             F.col(ITEM_NUMBER_COLUMN).alias("assembly_item_num"),
                             F.col("description").alias("assembly_item_descrip"))
@@ -55,7 +56,7 @@ def candidate_boms(assemblies: DataFrame, partno: DataFrame, arinvt: DataFrame,
         F.when(F.col("__item_bom") == F.col("bom_id"), F.lit(fixed.BOM_DEFAULT)).alias("is_bom_default"),
         "bom_mfg_num", "bom_descrip",
         F.coalesce(F.col("__last_use"), never).alias("last_transaction_date"),
-    ).distinct()
+    )
 
 
 def bom_counts(candidates: DataFrame) -> DataFrame:
@@ -67,29 +68,27 @@ def bom_counts(candidates: DataFrame) -> DataFrame:
 
 
 def select_boms(candidates: DataFrame) -> DataFrame:
-    """Keep an assembly's only BOM; with several keep the default one(s);
-    several without a default keep nothing. Counts per assembly are an
-    aggregate joined back (combines map-side; AQE splits a hot assembly)."""
+    """Keep an assembly's only BOM and every default one; several without a
+    default keep nothing. Counts per assembly are an aggregate joined back
+    (combines map-side; AQE splits a hot assembly)."""
     j = candidates.join(bom_counts(candidates), "assembly_id", "inner")
-    total, defaults = F.col("total_bom_count"), F.col("default_bom_count")
-    keep = (total == 1) | (
-        (total > 1) & (F.col("is_bom_default") == fixed.BOM_DEFAULT) & ~((total > 1) & (defaults == 0)))
+    keep = (F.col("total_bom_count") == 1) | (F.col("is_bom_default") == fixed.BOM_DEFAULT)
     return j.filter(keep).select(*candidates.columns)
 
 
-def bom_components(selected: DataFrame, standard: DataFrame, partno: DataFrame, ptoper: DataFrame,
+def bom_components(selected: DataFrame, partno: DataFrame, ptoper: DataFrame,
                    sndop: DataFrame, opmat: DataFrame, arinvt: DataFrame) -> DataFrame:
     """One level of expansion: BOM -> part rows -> operations -> operation
     definitions -> materials -> item. Rows without an item are dropped, so
-    every hop is an inner join."""
-    std = standard.select(F.col("id").alias("bom_id"))
+    every hop is an inner join. (A selected BOM exists in the BOM master:
+    its number was read there.)"""
     pn = partno.select(F.col("id").alias("__pn"), F.col("standard_id").alias("bom_id"))
     po = ptoper.select(F.col("partno_id").alias("__pn"), F.col("sndop_id").alias("__op"))
     op = sndop.select(F.col("id").alias("__op"))
     mat = opmat.select(F.col("sndop_id").alias("__op"), F.col("arinvt_id").alias("__item"), "ptsper")
     item = arinvt.select(F.col("id").alias("__item"))
     return (selected.select("assembly_item_num", "bom_id")
-            .join(std, "bom_id").join(pn, "bom_id").join(po, "__pn").join(op, "__op")
+            .join(pn, "bom_id").join(po, "__pn").join(op, "__op")
             .join(mat, "__op").join(item, "__item")
             .select("assembly_item_num", F.col("__item").alias("item_id"), "ptsper"))
 

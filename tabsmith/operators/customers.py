@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabsmith.functions import fixed
-from tabsmith.operators.relational import distinct_union, priority_pick, rank_within, union_all
+from tabsmith.operators.relational import distinct_union, rank_within, union_all
 
 
 def crm_customer_activity(crm_activity: DataFrame) -> DataFrame:
@@ -50,15 +50,19 @@ def single_occurrence_category(universe: DataFrame, crm_opportunity: DataFrame,
 
 
 def industry_pick(universe: DataFrame, crm_opportunity: DataFrame, opportunity_udf: DataFrame) -> DataFrame:
-    """One industry per customer that has a single-occurrence industry: any
-    industry of any of its opportunities, non-null first, ties broken by the
-    smallest name. The single-occurrence pairs only gate which customers get
-    one. Computed as a grouped priority pick (min of a struct) rather than a
-    ranked fan-out of pairs x opportunities."""
-    gate = single_occurrence_category(universe, crm_opportunity, opportunity_udf).select("arcusto_id")
-    gated = customer_opportunity_industries(crm_opportunity, opportunity_udf).join(gate, "arcusto_id", "left_semi")
-    non_null_first = F.when(F.col("industry").isNotNull(), 1).otherwise(2)
-    return priority_pick(gated, ["arcusto_id"], [non_null_first, F.col("industry")], ["industry"])
+    """One industry per customer that has a single-occurrence industry: the
+    smallest name among all industries of its opportunities. The
+    single-occurrence pairs only gate which customers get one.
+
+    From one count per (customer, industry): per customer the smallest name,
+    and whether any count is 1. The opportunities are joined to their fields
+    once, both aggregates combine map-side, and customers outside the universe
+    are dropped last, from one row each."""
+    counts = (customer_opportunity_industries(crm_opportunity, opportunity_udf)
+              .groupBy("arcusto_id", "industry").agg(F.count("industry").alias("__n")))
+    picks = counts.groupBy("arcusto_id").agg(F.min("industry").alias("industry"), F.min("__n").alias("__rarest"))
+    return (picks.filter(F.col("__rarest") == 1).join(universe.select("arcusto_id"), "arcusto_id", "left_semi")
+            .select("arcusto_id", "industry"))
 
 
 def address_usage(universe: DataFrame, sources: list[tuple[DataFrame, bool]], address_col: str,
@@ -114,10 +118,27 @@ def address_counts(sources: list[DataFrame], address_col: str, union_all_sources
     return union_all(parts) if union_all_sources else distinct_union(parts)
 
 
+def address_totals(usage: DataFrame, address_col: str) -> DataFrame:
+    """Total usage per (address, customer)."""
+    return (usage.filter(F.col(address_col).isNotNull())
+            .groupBy(address_col, "external_id")
+            .agg(F.sum("total").cast("long").alias("order_count")))
+
+
+def mark_most_used(usage: DataFrame, address_col: str) -> DataFrame:
+    """Total usage per (address, customer), with ``is_most_used`` true for the
+    address that :func:`rank_addresses` ranks first. The first address is a
+    grouped minimum joined back, so no task orders all addresses of a hot
+    customer."""
+    totals = address_totals(usage, address_col)
+    first = totals.groupBy(F.col("external_id").alias("__customer")).agg(
+        F.min(F.struct((-F.col("order_count")).alias("n"), F.col(address_col).alias("a"))).alias("__first"))
+    return totals.join(first, F.col("external_id") == F.col("__customer")).select(
+        address_col, "external_id", "order_count", (F.col(address_col) == F.col("__first.a")).alias("is_most_used"))
+
+
 def rank_addresses(usage: DataFrame, address_col: str) -> DataFrame:
     """Total usage per (address, customer); ``rn = 1`` marks the customer's
     most used address (ties: smaller address id). All rows are kept."""
-    totals = (usage.filter(F.col(address_col).isNotNull())
-              .groupBy(address_col, "external_id")
-              .agg(F.sum("total").cast("long").alias("order_count")))
+    totals = address_totals(usage, address_col)
     return rank_within(totals, ["external_id"], [F.desc("order_count"), F.asc(address_col)])

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabsmith.functions import fixed
@@ -84,26 +84,21 @@ def inactive_items(translog: DataFrame, arinvt: DataFrame, created_before: dt.da
 
     Statistics are grouped by (item, on hand) over the transaction log joined
     to the item master. The log is aggregated per item first (map-side
-    combine; a hot item costs nothing extra), then joined to the master.
-    Log rows whose item is missing from the master form one group with a
-    null item, as the outer join makes them."""
+    combine; a hot item costs nothing extra), then joined to the master and
+    grouped by what the master says. Log rows whose item is missing from the
+    master fall into one group with a null item, as the outer join makes
+    them."""
     per_item = translog.groupBy("arinvt_id").agg(
-        F.count("id").alias("transaction_count"),
-        F.max("trans_date").alias("last_transaction_date"),
-        F.min(F.when(F.col("trans_type") == fixed.NEW_ITEM, F.col("trans_date"))).alias("creation_date"),
+        F.count("id").alias("__n"),
+        F.max("trans_date").alias("__last"),
+        F.min(F.when(F.col("trans_type") == fixed.NEW_ITEM, F.col("trans_date"))).alias("__created"),
     )
     master = arinvt.select(F.col("id").alias("__id"), "onhand")
-    joined = per_item.join(master, per_item["arinvt_id"] == master["__id"], "left")
-    known = joined.filter(F.col("__id").isNotNull()).select(
-        F.col("__id").alias("arinvt_id"), "transaction_count", "last_transaction_date", "creation_date", "onhand")
-    unknown = joined.filter(F.col("__id").isNull()).groupBy().agg(
-        F.sum("transaction_count").alias("transaction_count"),
-        F.max("last_transaction_date").alias("last_transaction_date"),
-        F.min("creation_date").alias("creation_date"),
-    ).filter(F.col("transaction_count").isNotNull()).select(
-        F.lit(None).cast(known.schema["arinvt_id"].dataType).alias("arinvt_id"), "transaction_count",
-        "last_transaction_date", "creation_date", F.lit(None).cast(known.schema["onhand"].dataType).alias("onhand"))
-    stats = known.unionByName(unknown)
+    stats = (per_item.join(master, per_item["arinvt_id"] == master["__id"], "left")
+             .groupBy(F.col("__id").alias("arinvt_id"), "onhand")
+             .agg(F.sum("__n").alias("transaction_count"), F.max("__last").alias("last_transaction_date"),
+                  F.min("__created").alias("creation_date"))
+             .select("arinvt_id", "transaction_count", "last_transaction_date", "creation_date", "onhand"))
     rule = (((F.col("creation_date") < F.lit(created_before)) & (F.col("transaction_count") <= max_transactions))
             | ((F.col("last_transaction_date") < F.lit(last_moved_before))
                & (F.coalesce(F.col("onhand"), F.lit(0)) == 0)))
@@ -122,33 +117,52 @@ def last_use(translog: DataFrame) -> DataFrame:
             .groupBy("arinvt_id").agg(F.max("trans_date").alias("recent_trans_date")))
 
 
+def _log_history(translog: DataFrame, *more) -> DataFrame:
+    """One row per known log item, in one pass of the log: its last use, and ``more``."""
+    used = F.max(F.when(F.col("trans_type").isin(*fixed.USE_TRANSACTIONS), F.col("trans_date"))).alias("recent_trans_date")
+    return translog.filter(F.col("arinvt_id").isNotNull()).groupBy("arinvt_id").agg(used, *more)
+
+
+def _created() -> Column:
+    return F.when(F.col("trans_type") == fixed.NEW_ITEM, F.col("trans_date"))
+
+
+def _with_masters(history: DataFrame, arinvt: DataFrame, standard: DataFrame) -> tuple[DataFrame, Column]:
+    a = arinvt.select(F.col("id").alias("arinvt_id"), "itemno", "descrip", "pk_hide", "standard_id")
+    std = standard.select(F.col("id").alias("__std"), "mfgno")
+    rows = history.join(a, "arinvt_id", "left").join(std, F.col("standard_id") == F.col("__std"), "left")
+    return rows, F.coalesce(F.col("recent_trans_date"), default_like(history, "recent_trans_date", fixed.NEVER_USED))
+
+
 def stale_items(translog: DataFrame, arinvt: DataFrame, standard: DataFrame,
                 stale_before: dt.date = fixed.STALE_BEFORE) -> DataFrame:
     """Assemblies to leave out: known items created and last used before
     ``stale_before`` (never used counts as 1900-01-01), or whose default BOM
-    number contains ``ECO`` (case-sensitive).
-
-    Only whether an item has log rows matters, so the log is reduced to its
-    distinct item ids (and its creation rows to distinct dates) before the
-    joins; the result rows are the same set, and an item with a third of all
-    log rows adds one row, not a third of the log."""
-    items = translog.filter(F.col("arinvt_id").isNotNull()).select("arinvt_id").distinct()
-    a = arinvt.select(F.col("id").alias("arinvt_id"), "itemno", "descrip", "pk_hide", "standard_id")
-    std = standard.select(F.col("id").alias("__std"), "mfgno")
-    used = last_use(translog)
-    rows = (items.join(a, "arinvt_id", "left")
-            .join(creation_dates(translog).distinct(), "arinvt_id", "left")
-            .join(used, "arinvt_id", "left")
-            .join(std, F.col("standard_id") == F.col("__std"), "left"))
-    never = default_like(used, "recent_trans_date", fixed.NEVER_USED)
-    recent = F.coalesce(F.col("recent_trans_date"), never)
+    number contains ``ECO`` (case-sensitive). One row per creation date.
+
+    The log is read and shuffled once, reduced to one row per item (last use
+    and distinct creation dates, both combined map-side) before any join; an
+    item with a third of all log rows adds one row, not a third of the log."""
+    history = _log_history(translog, F.collect_set(_created()).alias("__created"))
+    rows, recent = _with_masters(history, arinvt, standard)
+    rows = rows.withColumn("item_creation_date", F.explode_outer("__created"))
     old = (F.col("itemno").isNotNull() & (F.col("item_creation_date") < F.lit(stale_before))
            & (recent < F.lit(stale_before)))
     return rows.filter(old | F.col("mfgno").like(fixed.ECO_MARK)).select(
         "arinvt_id", "itemno", "descrip",
         F.coalesce(F.col("pk_hide"), F.lit("N")).alias("is_item_inactive"),
         "item_creation_date", recent.alias("recent_trans_date"),
-    ).distinct()
+    )
+
+
+def stale_item_ids(translog: DataFrame, arinvt: DataFrame, standard: DataFrame,
+                   stale_before: dt.date = fixed.STALE_BEFORE) -> DataFrame:
+    """The ids of :func:`stale_items`, once each. Some creation date is before
+    the cut-off exactly if the first one is, so one row per item is enough."""
+    history = _log_history(translog, F.min(_created()).alias("__first"))
+    rows, recent = _with_masters(history, arinvt, standard)
+    old = F.col("itemno").isNotNull() & (F.col("__first") < F.lit(stale_before)) & (recent < F.lit(stale_before))
+    return rows.filter(old | F.col("mfgno").like(fixed.ECO_MARK)).select("arinvt_id").distinct()
 
 
 def config_items(ord_detail: DataFrame, orders: DataFrame, hist_ord_detail: DataFrame, hist_orders: DataFrame,
@@ -202,16 +216,17 @@ def unit_weight(shipment_packages: DataFrame, shipments: DataFrame, shipment_dtl
     shipped quantity (the same for each of its packages),
       sum over pairs of w * (q / Q) = (W / Q) * sum(q)  and
       sum over pairs of q           = n * sum(q),
-    so one aggregate per shipment and one per (shipment, item) give the
-    result in time linear in packages + lines, however many packages a hot
-    shipment has. (Package and shipment ids are keys.)"""
+    so the lines are joined and aggregated once per (shipment, item), and a
+    shipment's total is added up from those rows: time linear in packages +
+    lines, however many packages a hot shipment has. (Package and shipment
+    ids are keys.)"""
     pk = (shipment_packages.join(shipments.select(F.col("id").alias("shipments_id")), "shipments_id")
           .groupBy("shipments_id").agg(F.sum("actual_weight").alias("__w"), F.count(F.lit(1)).alias("__n")))
     od = ord_detail.select(F.col("id").alias("order_dtl_id"), "arinvt_id", F.col("cumm_shipped").alias("__q"))
     lines = shipment_dtl.select("shipments_id", "order_dtl_id", F.col("cumm_shipped").alias("__sq")).join(
         od, "order_dtl_id")
-    shipped = lines.groupBy("shipments_id").agg(F.sum("__sq").alias("__Q"))
-    per_item = lines.groupBy("shipments_id", "arinvt_id").agg(F.sum("__q").alias("__qi"))
+    per_item = lines.groupBy("shipments_id", "arinvt_id").agg(F.sum("__q").alias("__qi"), F.sum("__sq").alias("__sqi"))
+    shipped = per_item.groupBy("shipments_id").agg(F.sum("__sqi").alias("__Q"))
     parts = per_item.join(pk, "shipments_id").join(shipped, "shipments_id").select(
         "arinvt_id",
         (F.col("__w") * (F.col("__qi") / F.nullif(F.col("__Q"), F.lit(0)))).alias("__tw"),

@@ -171,8 +171,9 @@ def address_stream_job(spark, root):
     src = _address_input(spark, root).select(F.col("customer_id").cast("string").alias("customer_id"),
                                              *cols[1:])
     inbox, outbox = stage_path(spark, "address_inbox"), stage_path(spark, "address_outbox")
-    write_csv(src.repartition(4), inbox)
-    address_stream.start(spark, inbox, outbox, columns=cols).awaitTermination()
+    write_csv(src, inbox)
+    checkpoint = stage_path(spark, "address_stream_checkpoint")
+    address_stream.start(spark, inbox, outbox, checkpoint, columns=cols).awaitTermination()
     return read_text_csv(spark, outbox, cols + ["cleaned_address", "cleaned_city", "cleaned_state", "cleaned_zip"])
 
 

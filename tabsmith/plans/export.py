@@ -1,40 +1,49 @@
 """Produce every tab in one job, in the order the scripts ran.
 
-Intermediates read by several tabs (the customer universe, the selected
-BOMs, the BOM main table) are written once as stages below the cluster's
-shared folder and read back: later tabs reuse them instead of recomputing,
-and a lost executor re-reads files instead of re-running the upstream plan.
-
-    python -m tabsmith.plans.export <tables folder> <output folder> [csv|parquet]
-
-The tables folder holds one parquet table per ERP table name (``orders``,
-``arcusto``, ... see ``plans/tabs.py``).
+Intermediates read by several tabs (the customer universe, the active purchased
+items, the kept assemblies, the latest purchase units, the selected BOMs and
+the BOM main table) are written once as stages below the cluster's shared
+folder and read back: later tabs reuse them instead of recomputing, and a lost
+executor re-reads files instead of re-running the upstream plan. The stages are
+removed when all tabs are written.
+
+    python -m tabsmith.plans.export <tables folder> <output folder> [options]
+
+The tables folder holds one parquet table per ERP table name (``tabs.TABLES``),
+in any store that Spark reads. See ``--help`` for cut-off dates, excluded ids,
+template values and format.
 """
 
 from __future__ import annotations
 
-import os
+import argparse
+import datetime as dt
 import sys
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tabsmith.plans import tabs
+from tabsmith.session import remove_stage
 from tabsmith.sources.files import read_stage, write_csv, write_stage
 
-# Tab name -> export order key (see tabs.SINK_ORDER); None keeps no order.
+# Tab name -> export order key (see tabs.SINK_ORDER); None: the tab comes sorted by a column it doesn't have.
 TAB_ORDER = {
     "customers": "customer", "customer_bill_to": "customer_address", "customer_ship_to": "customer_address",
     "customer_addresses": "customer_address", "vendors": "vendor", "purchased_items": "purchase_inventory",
-    "purchased_locations": None, "purchased_item_vendors": "purchase_item_vendors", "assemblies": None,
-    "assembly_locations": None, "assembly_item_vendors": "assembly_item_vendors", "bills_of_materials": None,
-    "bom_revisions": None, "bom_revision_components": None, "assembly_bom_links": "bom_link",
-    "routings": None, "routing_steps": "routing_steps",
+    "purchased_locations": "purchase_inventory", "purchased_item_vendors": "purchase_item_vendors",
+    "assemblies": "assembly_inventory", "assembly_locations": None, "assembly_item_vendors": "assembly_item_vendors",
+    "bills_of_materials": "bom_header", "bom_revisions": None, "bom_revision_components": "bom_components",
+    "assembly_bom_links": "bom_link", "routings": None, "routing_steps": "routing_steps",
 }
 
+_stages: list[str] = []
+
 
 def _staged(df: DataFrame, name: str) -> DataFrame:
-    return read_stage(df.sparkSession, write_stage(df, name))
+    path = write_stage(df, name)
+    _stages.append(path)
+    return read_stage(df.sparkSession, path)
 
 
 def customer_tabs(t: Mapping[str, DataFrame], **address_options) -> dict[str, DataFrame]:
@@ -55,15 +64,17 @@ def vendor_tabs(t: Mapping[str, DataFrame], **vendor_options) -> dict[str, DataF
 
 def item_tabs(t: Mapping[str, DataFrame], purchased: dict | None = None,
               assembly: dict | None = None) -> dict[str, DataFrame]:
-    """T6-T11."""
-    purchased, assembly = purchased or {}, assembly or {}
+    """T6-T11; item sets and latest units are staged once."""
+    units = _staged(tabs.latest_units(t), "latest_units")
+    items = _staged(tabs.active_purchased_items(t, **(purchased or {})), "active_purchased_items")
+    kept = _staged(tabs.assembly_items_kept(t, **(assembly or {})), "assembly_items_kept")
     return {
-        "purchased_items": tabs.purchase_inventory_tab(t, **purchased),
-        "purchased_locations": tabs.purchase_locations_tab(t, **purchased),
-        "purchased_item_vendors": tabs.purchase_item_vendors_tab(t, **purchased),
-        "assemblies": tabs.assembly_inventory_tab(t, **assembly),
-        "assembly_locations": tabs.assembly_locations_tab(t, **assembly),
-        "assembly_item_vendors": tabs.assembly_item_vendors_tab(t, **assembly),
+        "purchased_items": tabs.purchase_inventory_tab(t, items, units),
+        "purchased_locations": tabs.purchase_locations_tab(t, items),
+        "purchased_item_vendors": tabs.purchase_item_vendors_tab(t, items),
+        "assemblies": tabs.assembly_inventory_tab(t, items=kept, units=units),
+        "assembly_locations": tabs.assembly_locations_tab(t, ordered=True, items=kept),
+        "assembly_item_vendors": tabs.assembly_item_vendors_tab(t, items=kept),
     }
 
 
@@ -76,7 +87,7 @@ def bom_tabs(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         "bom_revisions": tabs.bom_revision_tab(selected),
         "bom_revision_components": tabs.bom_revision_components_tab(t, selected),
         "assembly_bom_links": tabs.assembly_bom_link_tab(selected),
-        "routings": tabs.routing_header_tab(bom_main),
+        "routings": tabs.routing_header_tab(bom_main, ordered=True),
         "routing_steps": tabs.routing_steps_tab(t, bom_main),
     }
 
@@ -87,12 +98,13 @@ def build_tabs(t: Mapping[str, DataFrame], **options) -> dict[str, DataFrame]:
             **item_tabs(t, options.get("purchased"), options.get("assembly")), **bom_tabs(t)}
 
 
-def write_tabs(built: Mapping[str, DataFrame], out_dir: str, fmt: str = "csv",
-               legacy_names: bool = False) -> dict[str, str]:
+def write_tabs(built: Mapping[str, DataFrame], out_dir: str, fmt: str = "csv", legacy_names: bool = False,
+               values: Mapping[str, str] | None = None) -> dict[str, str]:
     """Write tabs below ``out_dir`` (one folder per tab, in its export
     order). Returns tab name -> path."""
     paths = {}
     for name, df in built.items():
+        df = tabs.with_template_values(df, values or {})
         if TAB_ORDER.get(name):
             df = tabs.sorted_for_export(df, TAB_ORDER[name])
         if legacy_names:
@@ -107,24 +119,61 @@ def write_tabs(built: Mapping[str, DataFrame], out_dir: str, fmt: str = "csv",
 
 
 def export_all(t: Mapping[str, DataFrame], out_dir: str, fmt: str = "csv", legacy_names: bool = False,
-               **options) -> dict[str, str]:
-    """Build and write every tab."""
-    return write_tabs(build_tabs(t, **options), out_dir, fmt, legacy_names)
+               values: Mapping[str, str] | None = None, **options) -> dict[str, str]:
+    """Build and write every tab, then remove the stages."""
+    spark = next(iter(t.values())).sparkSession
+    try:
+        return write_tabs(build_tabs(t, **options), out_dir, fmt, legacy_names, values)
+    finally:
+        while _stages:
+            remove_stage(spark, _stages.pop())
 
 
 def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Every ``<folder>/<name>`` parquet table, by name."""
-    return {n: spark.read.parquet(os.path.join(folder, n)) for n in sorted(os.listdir(folder))
-            if not n.startswith((".", "_"))}
+    """The ERP tables below ``folder``, one parquet table ``<folder>/<name>`` each."""
+    return {name: spark.read.parquet(f"{folder.rstrip('/')}/{name}") for name in tabs.TABLES}
+
+
+def arguments(argv: list[str]) -> argparse.Namespace:
+    date = dt.date.fromisoformat
+    p = argparse.ArgumentParser(prog="tabsmith.plans.export", description="Write every import tab.")
+    p.add_argument("tables", help="folder with one parquet table per ERP table")
+    p.add_argument("output", help="folder for the tabs")
+    p.add_argument("--format", choices=("csv", "parquet"), default="csv")
+    p.add_argument("--legacy-names", action="store_true", help="the target template's own column spellings")
+    p.add_argument("--true-usage-totals", action="store_true", help="keep equal usage rows of two sources apart")
+    p.add_argument("--fix-ship-to-defaults", action="store_true", help="ship-to addresses default for shipping")
+    p.add_argument("--vendors-with-po", action="store_true", help="only vendors that have a purchase order")
+    p.add_argument("--created-before", type=date, help="purchased items: cut-off of the creation date")
+    p.add_argument("--last-moved-before", type=date, help="purchased items: cut-off of the last transaction")
+    p.add_argument("--max-transactions", type=int)
+    p.add_argument("--exclude-item", type=int, action="append", help="purchased item id to leave out; may repeat")
+    p.add_argument("--stale-before", type=date, help="assemblies: cut-off of creation and last use")
+    p.add_argument("--set", action="append", default=[], metavar="NAME=VALUE",
+                   help=f"template value; names: {', '.join(tabs.TEMPLATE_COLUMNS)}")
+    return p.parse_args(argv)
+
+
+def options_of(args: argparse.Namespace) -> dict:
+    """Keyword arguments of :func:`export_all` from the command line."""
+    given = lambda **kw: {k: v for k, v in kw.items() if v is not None}
+    return {
+        "fmt": args.format, "legacy_names": args.legacy_names, "values": dict(v.split("=", 1) for v in args.set),
+        "address": {"union_all_sources": args.true_usage_totals, "fix_ship_to_defaults": args.fix_ship_to_defaults},
+        "vendor": {"with_po_only": args.vendors_with_po},
+        "purchased": given(created_before=args.created_before, last_moved_before=args.last_moved_before,
+                           max_transactions=args.max_transactions,
+                           excluded_ids=tuple(args.exclude_item) if args.exclude_item else None),
+        "assembly": given(stale_before=args.stale_before),
+    }
 
 
 def main(argv: list[str]) -> None:
     from tabsmith.session import build_session
 
-    tables, out = argv[0], argv[1]
-    fmt = argv[2] if len(argv) > 2 else "csv"
+    args = arguments(argv)
     spark = build_session(master=None)
-    export_all(read_tables(spark, tables), out, fmt)
+    export_all(read_tables(spark, args.tables), args.output, **options_of(args))
 
 
 if __name__ == "__main__":

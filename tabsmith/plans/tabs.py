@@ -2,15 +2,7 @@
 DataFrame and returns the tab as a lazy DataFrame (sort only at the sink,
 see ``sorted_for_export``).
 
-Table names expected in the mapping: orders, hist_orders, arinvoice, rma,
-crm_activity, crm_opportunity, v_ud_crm_opportunity, arcusto, terms, bill_to,
-ship_to, vendor, po, remit_to, states, dim_employees, glacct,
-vendors_cleaned, dim_inventory, arinvt, po_detail, po_detail_hist, po_hist,
-translog, arinvt_vendors, arinvt_vendors_breaks, item_class_ids,
-ord_detail, hist_ord_detail, crm_quote, crm_quote_detail,
-shipment_packages, shipments, shipment_dtl, standard, partno, ptoper, sndop,
-opmat, serialized_assembly_items, non_serialized_assembly_items,
-bill_of_materials (the BOM main table for routings).
+The mapping holds the tables of ``TABLES``.
 """
 
 from __future__ import annotations
@@ -27,10 +19,19 @@ from tabsmith.operators import boms as B
 from tabsmith.operators import customers as C
 from tabsmith.operators import items as I
 from tabsmith.operators import vendors as V
-from tabsmith.sources.tables import bounded_broadcast
 
 Tables = Mapping[str, DataFrame]
 
+#: ERP tables that the tabs read.
+TABLES = (
+    "orders", "hist_orders", "arinvoice", "rma", "crm_activity", "crm_opportunity", "v_ud_crm_opportunity", "arcusto",
+    "terms", "bill_to", "ship_to", "vendor", "po", "remit_to", "states", "dim_employees", "glacct", "vendors_cleaned",
+    "dim_inventory", "arinvt", "po_detail", "po_detail_hist", "po_hist", "translog", "arinvt_vendors",
+    "arinvt_vendors_breaks", "item_class_ids", "ord_detail", "hist_ord_detail", "crm_quote", "crm_quote_detail",
+    "shipment_packages", "shipments", "shipment_dtl", "standard", "partno", "ptoper", "sndop", "opmat",
+    "serialized_assembly_items", "non_serialized_assembly_items",
+)
+
 
 def _null(name: str) -> Column:
     return F.lit(None).cast("string").alias(name)
@@ -110,6 +111,13 @@ def ranked_addresses(t: Tables, kind: str = "bill_to", union_all_sources: bool =
     return C.rank_addresses(C.address_counts(srcs, col, union_all_sources), col)
 
 
+def most_used_addresses(t: Tables, kind: str = "bill_to", union_all_sources: bool = False) -> DataFrame:
+    """The rows of :func:`ranked_addresses` with ``is_most_used`` in place of the rank."""
+    col = f"{kind}_id"
+    srcs = [s for s, _ in _usage_sources(t, col, kind == "bill_to")]
+    return C.mark_most_used(C.address_counts(srcs, col, union_all_sources), col)
+
+
 def _address_columns(prefix: str, key: Column, attention: Column, default_billing: Column,
                      default_shipping: Column) -> list:
     digits = T.phone_digits(F.col("phone_number"))
@@ -138,10 +146,10 @@ def customer_address_tab(t: Tables, kind: str = "bill_to", fix_ship_to_defaults:
     marks it as default *billing*; ``fix_ship_to_defaults`` marks default
     shipping instead."""
     col = f"{kind}_id"
-    ranked = ranked_addresses(t, kind, union_all_sources)
+    used = most_used_addresses(t, kind, union_all_sources)
     dim = t[kind]
-    rows = ranked.join(dim, ranked[col] == dim["id"], "left")
-    top = T.flag_text(F.col("rn") == 1)
+    rows = used.join(dim, used[col] == dim["id"], "left")
+    top = T.flag_text(F.col("is_most_used"))
     false = F.lit("FALSE")
     billing, shipping = (false, top) if (kind == "ship_to" and fix_ship_to_defaults) else (top, false)
     return rows.select(F.col("external_id").alias("customer_external_id"),
@@ -169,7 +177,9 @@ def vendor_grid(t: Tables, with_po_only: bool = False, vendor_ids=None) -> DataF
 
 def vendor_tab(t: Tables, with_po_only: bool = False, vendor_ids=None) -> DataFrame:
     """T5: curated vendors with their computed rows side by side."""
-    return V.reconcile(t["vendors_cleaned"], vendor_grid(t, with_po_only, vendor_ids))
+    listed = t["vendors_cleaned"].select(F.col("external_id").alias("id"))
+    curated = {**t, "vendor": t["vendor"].join(listed, "id", "left_semi")}
+    return V.reconcile(t["vendors_cleaned"], vendor_grid(curated, with_po_only, vendor_ids))
 
 
 # -------------------------------------------------------------------- items
@@ -210,7 +220,7 @@ def _with_item(dim: DataFrame, t: Tables, cols) -> DataFrame:
 def _with_class(rows: DataFrame, t: Tables) -> DataFrame:
     cls = t["item_class_ids"].select(F.col("product_group").alias("__class"), "class_id")
     named = rows.withColumn("__class_name", T.item_class(F.col("product_group"), F.col("product_model")))
-    return named.join(bounded_broadcast(cls, 10_000), F.col("__class_name") == F.col("__class"), "left")
+    return named.join(cls, F.col("__class_name") == F.col("__class"), "left")
 
 
 def _with_latest_unit(rows: DataFrame, units: DataFrame) -> DataFrame:
@@ -218,10 +228,12 @@ def _with_latest_unit(rows: DataFrame, units: DataFrame) -> DataFrame:
     return rows.join(u, F.col("inventory_id") == F.col("__po_item"), "left")
 
 
-def purchase_inventory_tab(t: Tables, **kw) -> DataFrame:
-    """Purchased items with units, class and accounts."""
-    rows = _with_item(active_purchased_items(t, **kw), t, ["unit"])
-    rows = _with_latest_unit(_with_class(rows, t), latest_units(t))
+def purchase_inventory_tab(t: Tables, items: DataFrame | None = None, units: DataFrame | None = None, **kw) -> DataFrame:
+    """Purchased items with units, class and accounts. ``items`` and
+    ``units`` take results of :func:`active_purchased_items` and
+    :func:`latest_units` that are already at hand."""
+    rows = _with_item(active_purchased_items(t, **kw) if items is None else items, t, ["unit"])
+    rows = _with_latest_unit(_with_class(rows, t), latest_units(t) if units is None else units)
     return rows.select(
         F.col("inventory_id").alias("external_id"),
         F.col("item_number").alias("item_name_number"),
@@ -247,15 +259,15 @@ def _location_columns(supply_type: str) -> list:
         T.zero_to_null(F.col("safety_stock")).alias("location_1_safety_stock_level"),
         T.lot_sizing(F.col("unit_of_measure")).alias("location_1_lot_sizing_method"),
         F.col("min_order_qty"),
+        *[_null(name) for name in fixed.UNNAMED_LOCATION_COLUMNS],
         _lit(fixed.COUNT_INTERVAL, "location_1_count_interval"),
         F.col("standard_cost").alias("location_1_default_cost"),
     ]
 
 
-def purchase_locations_tab(t: Tables, **kw) -> DataFrame:
-    """Location settings of the purchased items. (Five unnamed null
-    columns of the source template are left out.)"""
-    rows = _with_item(active_purchased_items(t, **kw), t, ["safety_stock"])
+def purchase_locations_tab(t: Tables, items: DataFrame | None = None, **kw) -> DataFrame:
+    """Location settings of the purchased items."""
+    rows = _with_item(active_purchased_items(t, **kw) if items is None else items, t, ["safety_stock"])
     return rows.select(F.col("inventory_id").alias("external_id"), *_location_columns(fixed.PURCHASED_SUPPLY_TYPE),
                        _null("location_1_classification"))
 
@@ -268,9 +280,9 @@ def _vendor_price_columns(item_col: str, number_col: str, yes: str, no: str) ->
     ]
 
 
-def purchase_item_vendors_tab(t: Tables, **kw) -> DataFrame:
+def purchase_item_vendors_tab(t: Tables, items: DataFrame | None = None, **kw) -> DataFrame:
     """Per purchased item and vendor, the entry price tier."""
-    items = active_purchased_items(t, **kw).select("inventory_id", "item_number")
+    items = (active_purchased_items(t, **kw) if items is None else items).select("inventory_id", "item_number")
     priced = I.priced_breaks(t["arinvt_vendors_breaks"], t["arinvt_vendors"])
     rows = priced.join(items, priced["arinvt_id"] == items["inventory_id"], "inner")
     return I.entry_tier(rows, "inventory_id").select(*_vendor_price_columns("inventory_id", "item_number",
@@ -281,7 +293,7 @@ def assembly_items_kept(t: Tables, stale_before: dt.date = fixed.STALE_BEFORE) -
     """dim_inventory rows of the assemblies to export: default BOM present,
     description without TEST, class without FG, and neither stale nor a
     configurator item. (Item ids are the masters' primary keys.)"""
-    stale = I.stale_items(t["translog"], t["arinvt"], t["standard"], stale_before).select(
+    stale = I.stale_item_ids(t["translog"], t["arinvt"], t["standard"], stale_before).select(
         F.col("arinvt_id").alias("inventory_id"))
     config = I.config_items(t["ord_detail"], t["orders"], t["hist_ord_detail"], t["hist_orders"], t["crm_quote"],
                             t["crm_quote_detail"]).select(F.col("arinvt_id").alias("inventory_id"))
@@ -293,11 +305,12 @@ def assembly_items_kept(t: Tables, stale_before: dt.date = fixed.STALE_BEFORE) -
     return dim.join(cls.select("inventory_id"), "inventory_id", "left_semi")
 
 
-def assembly_results(t: Tables, stale_before: dt.date = fixed.STALE_BEFORE) -> DataFrame:
+def assembly_results(t: Tables, stale_before: dt.date = fixed.STALE_BEFORE, items: DataFrame | None = None,
+                     units: DataFrame | None = None) -> DataFrame:
     """T9 rows before formatting: kept assemblies with item unit, class id,
     latest purchase unit and weight per unit."""
-    rows = _with_item(assembly_items_kept(t, stale_before), t, ["unit"])
-    rows = _with_latest_unit(_with_class(rows, t), latest_units(t))
+    rows = _with_item(assembly_items_kept(t, stale_before) if items is None else items, t, ["unit"])
+    rows = _with_latest_unit(_with_class(rows, t), latest_units(t) if units is None else units)
     w = I.unit_weight(t["shipment_packages"], t["shipments"], t["shipment_dtl"], t["ord_detail"]).select(
         F.col("arinvt_id").alias("__w_item"), "weight_per_unit")
     return rows.join(w, F.col("inventory_id") == F.col("__w_item"), "left")
@@ -324,17 +337,20 @@ def assembly_inventory_tab(t: Tables, **kw) -> DataFrame:
     ).distinct()
 
 
-def assembly_locations_tab(t: Tables, **kw) -> DataFrame:
+def assembly_locations_tab(t: Tables, ordered: bool = False, items: DataFrame | None = None, **kw) -> DataFrame:
     """Location settings of the assemblies of T9 ('Build' supply).
+    ``ordered`` sorts by the item number, which is not a column of the tab.
     Built from the kept assembly rows; the T9 enrichment (units, class,
     weight) does not change which items are exported, so it is not rerun."""
-    rows = _with_item(assembly_items_kept(t, **kw), t, ["safety_stock"])
+    rows = _with_item(assembly_items_kept(t, **kw) if items is None else items, t, ["safety_stock"])
+    if ordered:
+        rows = rows.orderBy(F.desc_nulls_first("item_number"))
     return rows.select(F.col("inventory_id").alias("external_id"), *_location_columns(fixed.ASSEMBLY_SUPPLY_TYPE))
 
 
-def assembly_item_vendors_tab(t: Tables, **kw) -> DataFrame:
+def assembly_item_vendors_tab(t: Tables, items: DataFrame | None = None, **kw) -> DataFrame:
     """Per assembly of T9 and vendor, the entry price tier (Yes/No)."""
-    res = assembly_items_kept(t, **kw).select("inventory_id", "item_number")
+    res = (assembly_items_kept(t, **kw) if items is None else items).select("inventory_id", "item_number")
     priced = I.priced_breaks(t["arinvt_vendors_breaks"], t["arinvt_vendors"])
     rows = priced.join(res, priced["arinvt_id"] == res["inventory_id"], "inner")
     return I.entry_tier(rows, "inventory_id").select(*_vendor_price_columns("inventory_id", "item_number",
@@ -372,7 +388,7 @@ def bom_revision_tab(selected: DataFrame) -> DataFrame:
 
 def bom_revision_components_tab(t: Tables, selected: DataFrame) -> DataFrame:
     """The components of each selected BOM revision (one level)."""
-    comp = B.bom_components(selected, t["standard"], t["partno"], t["ptoper"], t["sndop"], t["opmat"], t["arinvt"])
+    comp = B.bom_components(selected, t["partno"], t["ptoper"], t["sndop"], t["opmat"], t["arinvt"])
     return comp.select(
         T.revision_external_id(F.col("assembly_item_num")).alias("external_id"),
         F.col("item_id").alias("item_external_id"),
@@ -391,9 +407,12 @@ def assembly_bom_link_tab(selected: DataFrame) -> DataFrame:
     )
 
 
-def routing_header_tab(bom_main: DataFrame) -> DataFrame:
-    """One default routing per BOM of the BOM main table."""
+def routing_header_tab(bom_main: DataFrame, ordered: bool = False) -> DataFrame:
+    """One default routing per BOM of the BOM main table. ``ordered``
+    sorts by the BOM's name, which is not a column of the tab."""
     b = bom_main.filter(F.col("external_id").isNotNull())
+    if ordered:
+        b = b.orderBy(F.desc_nulls_first("name"))
     rid = T.routing_external_id(F.col("external_id"))
     return b.select(
         rid.alias("external_id"), rid.alias("name"), _lit(fixed.SUBSIDIARY, "subsidiary"),
@@ -417,8 +436,10 @@ def with_legacy_names(df: DataFrame) -> DataFrame:
     return df
 
 
-# Export order per tab: (column, descending?); ascending keys put nulls
-# first and descending keys nulls last, as most warehouses do.
+# Export order per tab: (column, descending?). Nulls sort as the largest value:
+# last when ascending, first when descending. The orders of the assembly
+# locations and routing headers are on columns that the tabs don't have, see
+# their ``ordered`` arguments.
 SINK_ORDER = {
     "customer": [("id", False)],
     "customer_address": [("customer_external_id", False)],
@@ -426,6 +447,9 @@ SINK_ORDER = {
     "purchase_inventory": [("external_id", False)],
     "purchase_item_vendors": [("external_id", False), ("vendor_external_id", False)],
     "assembly_item_vendors": [("item_name_number", True), ("vendor_external_id", False)],
+    "assembly_inventory": [("item_name_number", True)],
+    "bom_header": [("external_id", False)],
+    "bom_components": [("external_id", True), ("item_external_id", False)],
     "bom_link": [("bill_of_material_external_id", True)],
     "routing_steps": [("external_id", False), ("operation_sequence", False)],
 }
@@ -433,4 +457,28 @@ SINK_ORDER = {
 
 def sorted_for_export(df: DataFrame, kind: str) -> DataFrame:
     """Apply the tab's export order (a global sort; only at the sink)."""
-    return df.orderBy(*[F.desc_nulls_last(c) if desc else F.asc_nulls_first(c) for c, desc in SINK_ORDER[kind]])
+    return df.orderBy(*[F.desc_nulls_first(c) if desc else F.asc_nulls_last(c) for c, desc in SINK_ORDER[kind]])
+
+
+# Template constants by the columns that carry them.
+TEMPLATE_COLUMNS = {
+    "subsidiary": ("subsidiary", "subsidiary_external_id"),
+    "location": ("location_1_location", "location_external_id"),
+    "currency": ("primary_currency", "currency"),
+    "asset_account": ("asset_account",),
+    "income_account": ("income_account",),
+    "cogs_account": ("cogs_account",),
+    "tax_schedule": ("tax_schedule",),
+    "replenishment_method": ("replenishment_method",),
+    "cost_category": ("cost_category",),
+}
+
+
+def with_template_values(df: DataFrame, values: Mapping[str, str]) -> DataFrame:
+    """A tab with other template constants, e.g. ``{"subsidiary": "Other Ltd"}``
+    (names: ``TEMPLATE_COLUMNS``); the defaults are the fixed values."""
+    unknown = sorted(set(values) - set(TEMPLATE_COLUMNS))
+    if unknown:
+        raise ValueError(f"no template value is named {', '.join(unknown)}")
+    new = {c: F.lit(v) for name, v in values.items() for c in TEMPLATE_COLUMNS[name] if c in df.columns}
+    return df.withColumns(new) if new else df
