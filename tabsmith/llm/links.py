@@ -234,7 +234,8 @@ def _full_sets(docs: DataFrame, classes: DataFrame, rule: NearRule) -> DataFrame
     wanted = classes.select(F.col("doc_id").alias("_id"), F.col("node").alias("_node"))
     texts = docs.select("doc_id", "text").join(wanted.select("_id").distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     found = texts.select(full("text").alias("f")).select("f.*")
-    found = found.join(wanted.select(F.col("_node").alias("node")), "node", "left_semi")
+    # an inner join: a semi join would be pushed below the sets, which would then be built for all documents
+    found = found.join(wanted.select(F.col("_node").alias("node")), "node")
     return found.groupBy("node").agg(F.first("set").alias("set"))
 
 
