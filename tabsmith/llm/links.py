@@ -39,9 +39,10 @@ from tabsmith.llm.common import staged
 CENTRES = 4            # densest members that everyone in a bucket is paired with
 SMALL_BUCKET = 8       # up to this size all pairs are formed
 SIGMAS = 4.0           # margin of the estimate below the threshold, in standard errors
+AGREEMENT_SLACK = 0.1  # of equal registers below the least estimate, for the estimate to be computed at all
 OPEN_BLOCK = 512       # documents outside the main component, in one task
 ALL_BLOCK = 2048       # documents they are compared with, in one task
-WORD_CACHE = 500_000   # word hashes kept by a worker process
+WORD_CACHE = 200_000   # word hashes kept by a worker process
 
 
 class Sketch(Protocol):
@@ -177,7 +178,8 @@ def _compare(rule: NearRule):
             for i, (node, root) in enumerate(zip(nodes_a, open_rows["root"], strict=True)):
                 equal = (b == a[i]).sum(axis=1)
                 n_a = len(sets_a[i])
-                rows = np.nonzero((equal > 0) & (np.minimum(n_a, n_b) * 100 >= np.maximum(n_a, n_b) * percent))[0]
+                may = equal >= (least - AGREEMENT_SLACK) * b.shape[1]
+                rows = np.nonzero(may & (np.minimum(n_a, n_b) * 100 >= np.maximum(n_a, n_b) * percent))[0]
                 near = sketch.estimate(equal[rows], (a[i] > b[rows]).sum(axis=1), (a[i] < b[rows]).sum(axis=1), np.full(len(rows), n_a), n_b[rows])
                 for j in rows[np.argsort(-near, kind="stable")][: int((near >= least).sum())]:
                     x, y = _lead(leader, root), _lead(leader, roots_b[j])
