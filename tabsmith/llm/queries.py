@@ -105,4 +105,52 @@ LLM_QUERIES = {
     "op10_quality_classifier": op10_quality_classifier,
 }
 
-LLM_ORACLE: dict[str, str] = {}
+LLM_ORACLE: dict[str, str] = {
+    "op1_vector_search": f"""
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+         coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda p: coalesce(p[1] * p[2], 0))), 0)::BIGINT AS score
+  FROM usable a JOIN usable b ON b.vec_id <> a.vec_id WHERE a.vec_id % {QUERY_EVERY} = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= {SEARCH_TOP}""",
+    "op2_mix_sources": f"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents
+),
+totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+weighed AS (
+  SELECT *, (1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::DOUBLE AS weight,
+         ({mixing.MAX_REPEATS} * source_size)::DOUBLE AS cap, (sum(source_size) OVER ())::DOUBLE AS total FROM totals
+),
+ordered AS (
+  SELECT *, coalesce(sum(cap) OVER earlier, 0) AS caps_before,
+         sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0) AS weight_left FROM weighed
+  WINDOW earlier AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+marked AS (SELECT *, cap / weight * weight_left <= total - caps_before AS capped FROM ordered),
+goals AS (
+  SELECT source, source_size, if(capped, cap, (total - sum(if(capped, cap, 0)) OVER ()) * weight
+                                              / sum(if(capped, 0, weight)) OVER ()) AS target FROM marked
+),
+rated AS (
+  SELECT *, if(source_size > 0, least(target / source_size, {mixing.MAX_REPEATS}.0), 0) AS rate FROM goals
+),
+drawn AS (
+  SELECT sized.*, k AS draw, source_size, target, floor(rate)::BIGINT AS whole,
+         ('0x' || substr(md5(concat_ws('|', doc_id, size, k // {mixing.DRAWS_PER_HASH})), k % {mixing.DRAWS_PER_HASH} * 8 + 1, 8))::BIGINT
+         / 4294967296.0::DOUBLE < rate - floor(rate) AS again
+  FROM sized JOIN rated ON rated.source IS NOT DISTINCT FROM sized.source, range({mixing.SEEDS}) draws(k)
+),
+best AS (
+  SELECT source, draw FROM drawn GROUP BY source, draw
+  QUALIFY row_number() OVER (PARTITION BY source
+    ORDER BY abs(max(whole * source_size) + sum(if(again, size, 0)) - max(target)), draw) = 1
+)
+SELECT doc_id, size, source_size, target, size * (whole + again::INT) AS taken
+FROM drawn JOIN best ON best.draw = drawn.draw AND best.source IS NOT DISTINCT FROM drawn.source""",
+}
