@@ -11,9 +11,9 @@ over the grades in hash order, near copies of a sampled text left out); features
 are kept that occur in ``MIN_DOCUMENTS`` of the sample and unevenly over the
 grades. Every document is scored from its whole text.
 
-Cases: a null text is empty and scored as such; without two grades to learn
-from every document gets the one grade there is (or the lowest, 0), and tail
-probability 1. Repeated rows are scored alike and teach once; a document rated
+Cases: a null text is empty and scored as such; with one grade to learn from
+every document gets that grade, and with none grade 0 and tail probability 1,
+so that nothing is rejected. Repeated rows are scored alike and teach once; a document rated
 more than once teaches its lowest rating. Ratings of unknown documents and
 null ratings teach nothing. Other columns are passed on untouched.
 """
@@ -97,7 +97,9 @@ class OrdinalModel:
         return _logistic(self.weights[cells] @ _weight(cells) - self.thresholds)
 
     def judge(self, text: str | None, least: float) -> tuple[float, float]:
-        """(expected grade, P(grade >= least))."""
+        """(expected grade, P(grade >= least)); nothing speaks against a text where there were no ratings."""
+        if not len(self.grades):
+            return 0.0, 1.0
         above = self.above(features(text))
         expected = float(self.grades[0] + above @ np.diff(self.grades))
         at = int(np.searchsorted(self.grades, least))
@@ -120,7 +122,7 @@ def fit_sample(rows: list[np.ndarray], ratings: list[int]) -> OrdinalModel:
     """Model from feature sets and ratings, by maximum penalised likelihood."""
     grades = np.array(sorted(set(ratings)), dtype=np.float64)
     if len(grades) < 2:
-        return OrdinalModel(grades if len(grades) else np.zeros(1), np.zeros(0), np.zeros(N_FEATURES))
+        return OrdinalModel(grades, np.zeros(0), np.zeros(N_FEATURES))
     y = np.searchsorted(grades, ratings)
     n, k = len(rows), len(grades)
     cells, values = np.concatenate(rows), np.concatenate([_weight(r) for r in rows])
