@@ -39,11 +39,11 @@ CUSTOMERS = {"orders": "c_orders", "hist_orders": "c_hist_orders", "arinvoice":
              "bill_to": "bill_to", "ship_to": "ship_to"}
 VENDORS = {"vendor": "vendor", "po": "v_po", "remit_to": "remit_to", "terms": "terms", "states": "states",
            "dim_employees": "dim_employees", "glacct": "glacct", "vendors_cleaned": "vendors_cleaned"}
-ITEMS = {"dim_inventory": "dim_inventory", "arinvt": "arinvt", "po": "po", "po_hist": "po",
+ITEMS = {"dim_inventory": "dim_inventory", "arinvt": "arinvt", "po": "po", "po_hist": "po_hist",
          "po_detail": "po_detail", "po_detail_hist": "po_detail_hist", "translog": "translog",
          "arinvt_vendors": "arinvt_vendors", "arinvt_vendors_breaks": "arinvt_vendors_breaks",
          "item_class_ids": "item_class_ids", "ord_detail": "ord_detail",
-         "hist_ord_detail": "hist_ord_detail", "orders": "i_orders", "hist_orders": "i_orders",
+         "hist_ord_detail": "hist_ord_detail", "orders": "i_orders", "hist_orders": "i_hist_orders",
          "crm_quote": "crm_quote", "crm_quote_detail": "crm_quote_detail",
          "shipment_packages": "shipment_packages", "shipments": "shipments", "shipment_dtl": "shipment_dtl",
          "standard": "standard", "partno": "partno", "ptoper": "ptoper", "sndop": "sndop", "opmat": "opmat",

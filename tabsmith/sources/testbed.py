@@ -311,6 +311,11 @@ _add(View("po", "orders", (
     ("id", "o_orderkey"),
     ("po_date", "CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END"),
 )))
+# Historic headers are dated apart, so that a line joined to the wrong header shows.
+_add(View("po_hist", "orders", (
+    ("id", "o_orderkey"),
+    ("po_date", "CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE CAST(o_orderdate - INTERVAL '400' DAY AS DATE) END"),
+)))
 _po_detail_cols = (("po_id", "l_orderkey"), ("arinvt_id", "l_partkey"), ("unit", _po_unit("l_orderkey + l_linenumber")))
 _add(View("po_detail", "lineitem", _po_detail_cols, where=f"l_shipdate >= {_CUT}"))
 _add(View("po_detail_hist", "lineitem", _po_detail_cols, where=f"l_shipdate < {_CUT}"))
@@ -326,7 +331,7 @@ _add(View("translog", "lineitem", (
 _add(View("arinvt_vendors", "part_supplier_pairs", (
     ("id", _PAIR_ID),
     ("arinvt_id", "l_partkey"),
-    ("vendor_id", "l_suppkey"),
+    ("vendor_id", "l_suppkey % 5"),  # several vendor items for one item and vendor
     ("vend_itemno", f"'V' || {_s('l_suppkey')} || '-' || {_s('l_partkey')}"),
     ("is_default", "CASE (l_partkey + l_suppkey) % 3 WHEN 0 THEN 'Y' WHEN 1 THEN 'N' END"),
 )))
@@ -346,14 +351,19 @@ _add(View("i_orders", "orders", (
     ("id", "o_orderkey"),
     ("crm_quote_id", "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN o_custkey END"),
 )))
+_add(View("i_hist_orders", "orders", (
+    ("id", "o_orderkey"),
+    ("crm_quote_id", "CASE WHEN o_orderpriority = '3-MEDIUM' THEN o_custkey END"),
+)))
 _add(View("crm_quote", "customer", (("id", "c_custkey"),)))
 _add(View("crm_quote_detail", "events", (
     ("id", "event_id"),
     ("crm_quote_id", "user_id"),
     ("source", "CASE WHEN event_type = 'purchase' THEN 'SALES_CONFIG' ELSE 'MANUAL' END"),
 )))
-_add(View("shipment_packages", "orders", (
-    ("id", "o_orderkey"), ("shipments_id", "o_orderkey"), ("actual_weight", "o_totalprice / 100"))))
+# Several packages per shipment.
+_add(View("shipment_packages", "part_supplier_pairs", (
+    ("id", _PAIR_ID), ("shipments_id", "l_partkey"), ("actual_weight", "(l_partkey + l_suppkey) * 0.5"))))
 _add(View("shipments", "orders", (("id", "o_orderkey"),)))
 _add(View("shipment_dtl", "lineitem", (
     ("shipments_id", "l_orderkey"), ("order_dtl_id", _LINE_ID), ("cumm_shipped", "l_quantity"))))
@@ -387,8 +397,8 @@ _assembly_cols = (
     ("Item Name/Number", f"'ITEM-' || {_s('p_partkey')}"),
     ("description", "p_name"),
 )
-_add(View("serialized_assembly_items", "part", _assembly_cols, where="p_size <= 25"))
-_add(View("non_serialized_assembly_items", "part", _assembly_cols, where="p_size > 25"))
+_add(View("serialized_assembly_items", "part", _assembly_cols, where="p_size <= 30"))
+_add(View("non_serialized_assembly_items", "part", _assembly_cols, where="p_size > 20"))
 
 # -------------------------------------------------------- address job input
 _add(View("raw_addresses", "customer", (
