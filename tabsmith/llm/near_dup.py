@@ -80,9 +80,11 @@ def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     groups = near_groups(docs, words, percent)
     dropped = groups.where(~F.col("kept")).select("doc_id").distinct()
     kept = docs.join(dropped, "doc_id", "left_anti")
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select("doc_id")
+    if repeated.isEmpty():  # ids are unique: nothing more to decide, and no second pass over the texts
+        return kept
     # rows that share their id with the kept one: the first by text stays
     one = Window.partitionBy("doc_id").orderBy("text")
-    repeated = kept.groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1 and doc_id is not null").drop("_n")
     single = kept.join(repeated, "doc_id", "left_anti")
     first = kept.join(repeated, "doc_id", "left_semi").withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n")
     return single.unionByName(first)
