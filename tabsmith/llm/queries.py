@@ -61,19 +61,21 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+SIGNS = r"[|#$%&*]+"
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals after three batches: all documents, the toxic ones deleted, those of low quality counted anew without signs."""
+    """Totals after three batches: all documents, the toxic ones deleted, those with signs in them counted anew without."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
-    labels = read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic").where("doc_id is not null")
+    labels = read_table(spark, sf_dir, "labels", "doc_id", "toxic").where("doc_id is not null")
     versions = {"byte_bpe_50k": tokenizer_path("byte_bpe_50k.json")}
     toxic = labels.where("toxic = 1").select("doc_id").distinct()
-    poor = labels.where("quality = 0").select("doc_id").distinct().join(toxic, "doc_id", "left_anti")
-    revised = docs.join(poor, "doc_id", "left_semi").withColumn("text", F.regexp_replace("text", r"[|!#$%&*]+", ""))
+    revised = docs.where(F.col("text").rlike(SIGNS)).withColumn("text", F.regexp_replace("text", SIGNS, ""))
     rollup = token_rollup.TokenRollup(spark, stage_path(spark, "token-rollup"))
     rollup.apply("1-load", token_rollup.counted(docs, versions, words="words"))
-    rollup.apply("2-toxic", deletes=toxic)
-    rollup.apply("3-revised", token_rollup.counted(revised, versions, words="words"))
-    rollup.apply("2-toxic", deletes=toxic)  # a batch that comes twice counts once
+    rollup.apply("2-revised", token_rollup.counted(revised, versions, words="words"))
+    rollup.apply("3-toxic", deletes=toxic)
+    rollup.apply("2-revised", token_rollup.counted(revised, versions, words="words"))  # a batch that comes twice counts once
     return rollup.totals()
 
 
