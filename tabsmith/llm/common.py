@@ -15,6 +15,7 @@ DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+TEXTS_PER_BATCH = 512
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -22,7 +23,10 @@ def let_workers_import(spark: SparkSession) -> None:
     """Put the folder that holds the package on the Python path of this session's workers.
 
     On a cluster the package comes with ``--py-files``; the extra entry is then idle.
+    Rows that hold whole texts go to the workers in batches of ``TEXTS_PER_BATCH``,
+    so that a worker's memory is a few batches whatever the table's size.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXTS_PER_BATCH)
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if PACKAGE_ROOT not in paths:
