@@ -70,21 +70,27 @@ def has_letter(text: str | None) -> bool:
     return text is not None and LETTER.search(text) is not None
 
 
-def svm(x: np.ndarray, positive: np.ndarray) -> np.ndarray:
-    """Weights (the last one is the bias) of a linear support vector machine, by dual coordinate descent."""
-    x = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)]).astype(np.float64)
+def svm(x: np.ndarray, rows: np.ndarray, positive: np.ndarray) -> np.ndarray:
+    """Weights (the last one is the bias) of a linear support vector machine on some rows, by dual coordinate descent.
+
+    ``x`` is read in place, so the sample is held once however many machines are fitted.
+    """
     y = np.where(positive, 1.0, -1.0)
     # classes of unequal size weigh the same
     cost = PENALTY * np.where(positive, 1.0 / max(1, positive.sum()), 1.0 / max(1, (~positive).sum())) * len(y) / 2
-    alpha, w, square = np.zeros(len(y)), np.zeros(x.shape[1]), (x * x).sum(axis=1)
+    alpha, w, bias = np.zeros(len(y)), np.zeros(x.shape[1], dtype=x.dtype), 0.0
+    square = np.einsum("ij,ij->i", x, x)[rows] + 1.0
     random = np.random.default_rng(7)
     for _ in range(EPOCHS):
         for i in random.permutation(len(y)):
-            new = min(max(alpha[i] - (y[i] * (w @ x[i]) - 1.0) / square[i], 0.0), cost[i])
+            own = x[rows[i]]
+            new = min(max(alpha[i] - (y[i] * (float(w @ own) + bias) - 1.0) / square[i], 0.0), cost[i])
             if new != alpha[i]:
-                w += (new - alpha[i]) * y[i] * x[i]
+                step = (new - alpha[i]) * y[i]
+                w += x.dtype.type(step) * own
+                bias += step
                 alpha[i] = new
-    return w.astype(np.float32)
+    return np.append(w, bias).astype(np.float32)
 
 
 def group_families(means: dict[str, np.ndarray]) -> list[list[str]]:
@@ -141,12 +147,12 @@ def fit_sample(x: np.ndarray, languages: list[str]) -> LanguageModel:
     family = np.array([family_of[name] for name in languages])
     model = LanguageModel(families)
     if len(families) > 1:
-        model.family_weights = np.stack([svm(x, family == k) for k in range(len(families))])
+        model.family_weights = np.stack([svm(x, np.arange(len(x)), family == k) for k in range(len(families))])
     for k, names in enumerate(families):
         if len(names) > 1:
             model.pairs[k] = [(a, b) for a in range(len(names)) for b in range(a + 1, len(names))]
-            rows = [(label == names[a]) | (label == names[b]) for a, b in model.pairs[k]]
-            model.pair_weights[k] = np.stack([svm(x[r], label[r] == names[a]) for r, (a, _) in zip(rows, model.pairs[k], strict=True)])
+            rows = [np.flatnonzero((label == names[a]) | (label == names[b])) for a, b in model.pairs[k]]
+            model.pair_weights[k] = np.stack([svm(x, r, label[r] == names[a]) for r, (a, _) in zip(rows, model.pairs[k], strict=True)])
     return model
 
 
