@@ -12,9 +12,11 @@ the ratio of the longest seen gram is the sum of ``delta`` over all seen grams
 that end there, because a gram can only be seen if its suffixes are. So a
 URL's total is one sum over its grams, which combines before any shuffle.
 
-Everything is built-in Spark. Gram statistics cover every ruled URL; the model
-is folded into ``MODEL_BUCKETS`` hashed cells, which bounds what is broadcast
-(131,072 rows of 16 bytes) whatever the corpus size.
+Everything is built-in Spark. Gram statistics cover every ruled URL and are
+kept by the gram itself, so a gram that training has not seen gives 0. The
+model grows with the ruled URLs and is joined by a shuffle, never broadcast:
+first to the distinct tails of the URLs (a character with all its context),
+then tails to URLs, one row per URL and tail.
 
 Cases: a null URL or one without ``://`` has an empty host and path, no rule
 and score 0; so has a URL with empty host and path. Repeated rows are judged
@@ -36,7 +38,6 @@ from tabsmith.llm.common import ascii_lower, staged
 ORDER = 4              # longest context, in characters
 PRIOR = 0.5            # weight of the next lower order against observed counts
 ALPHABET = 256.0       # order -1: uniform over this many characters
-MODEL_BUCKETS = 1 << 17
 HELD_OUT_FOLDS = 5     # one fold of the ruled URLs calibrates, the others train
 SCORE_BINS = 2000      # calibration histogram over scores in [-SCORE_SPAN, SCORE_SPAN]
 SCORE_SPAN = 10.0
@@ -75,7 +76,7 @@ def _grams(frame: DataFrame, text: str) -> DataFrame:
 
 
 def train(ruled: DataFrame) -> DataFrame:
-    """Model cells (bucket, delta) from rows (marked, accepted)."""
+    """Model rows (gram, delta), one per gram seen, from rows (marked, accepted)."""
     counts = (_grams(ruled, "marked").where("gram is not null").groupBy("gram")
               .agg(F.sum(F.col("accepted").cast("long")).alias("a"),
                    F.sum((~F.col("accepted")).cast("long")).alias("r")))
@@ -96,25 +97,32 @@ def train(ruled: DataFrame) -> DataFrame:
             'pa', (o.a + {PRIOR}D * s.pa) / (o.context_a + {PRIOR}D),
             'pr', (o.r + {PRIOR}D * s.pr) / (o.context_r + {PRIOR}D),
             'last', ln(s.pa / s.pr)))"""
-    delta = (chain.withColumn("p", F.expr(step))
-             .select("gram", (F.log(F.col("p.pa") / F.col("p.pr")) - F.col("p.last")).alias("delta"),
-                     (F.col("own.a") + F.col("own.r")).alias("n")))
-    return (delta.groupBy(_bucket().alias("bucket"))
-            .agg((F.sum(F.col("delta") * F.col("n")) / F.sum("n")).alias("delta")))
+    return (chain.withColumn("p", F.expr(step))
+            .select("gram", (F.log(F.col("p.pa") / F.col("p.pr")) - F.col("p.last")).alias("delta")))
 
 
-def _bucket() -> Column:
-    return F.pmod(F.xxhash64("gram"), F.lit(MODEL_BUCKETS))
+def _tails(rows: DataFrame) -> DataFrame:
+    """(_row, tail, n): each character with its whole context, counted per URL."""
+    end = F.explode(F.expr("if(length(marked) < 2, null, sequence(2, length(marked)))"))
+    tail = F.expr(f"substring(marked, greatest(1, _end - {ORDER}), least({ORDER + 1}, _end))")
+    return rows.select("_row", "marked", end.alias("_end")).groupBy("_row", tail.alias("tail")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def score(urls: DataFrame, model: DataFrame, keep: Sequence[str]) -> DataFrame:
     """``keep`` columns and ``score`` for each row of ``urls`` with column ``marked``."""
-    rows = urls.select(F.monotonically_increasing_id().alias("_row"), "marked", *keep)
-    hits = _grams(rows, "marked").withColumn("bucket", F.when(F.col("gram").isNotNull(), _bucket()))
-    hits = hits.join(F.broadcast(model), "bucket", "left")  # MODEL_BUCKETS rows at most
-    total = F.coalesce(F.sum("delta"), F.lit(0.0))
-    length = F.greatest(F.max(F.length("marked")) - 1, F.lit(1))
-    return hits.groupBy("_row", *keep).agg((total / length).alias("score")).drop("_row")
+    columns = list(dict.fromkeys(["marked", *keep]))
+    rows = staged(urls.select(F.monotonically_increasing_id().alias("_row"), *columns), "url-rows")
+    tails = _tails(rows)
+    # A tail's ratio is the sum of delta over its seen suffixes.
+    grams = (tails.select("tail").distinct().withColumn("_len", F.explode(F.expr("sequence(1, length(tail))")))
+             .select("tail", F.expr("right(tail, _len)").alias("gram")))
+    # The merge hints keep every size on the shuffle join, which AQE splits at hot tails.
+    ratios = grams.join(model.hint("merge"), "gram").groupBy("tail").agg(F.sum("delta").alias("ratio"))
+    totals = (tails.join(ratios.hint("merge"), "tail").groupBy("_row")
+              .agg(F.sum(F.col("ratio") * F.col("n")).alias("_total")))
+    length = F.greatest(F.length("marked") - 1, F.lit(1))
+    scores = (F.coalesce("_total", F.lit(0.0)) / F.coalesce(length, F.lit(1))).alias("score")
+    return rows.join(totals.hint("merge"), "_row", "left").select(*keep, scores)
 
 
 def threshold(scored: DataFrame) -> float:

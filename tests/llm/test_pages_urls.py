@@ -112,5 +112,21 @@ def test_score_is_the_longest_context_ratio(spark):
     assert abs(got - total / (len(url) - 1)) < 1e-9
 
 
+def test_grams_that_training_never_saw_give_nothing(spark):
+    """However many grams the model holds, each one is told from all others."""
+    import random
+
+    rng = random.Random(5)
+    letters = [chr(c) for c in range(0x100, 0x180)]
+    texts = [("\u0002" + "".join(rng.choices(letters, k=100)), k % 2 == 0) for k in range(500)]
+    seen = {t[end - n:end] for t, _ in texts for end in range(2, len(t) + 1) for n in range(1, min(url_filter.ORDER + 1, end) + 1)}
+    model = url_filter.train(spark.createDataFrame(texts, "marked string, accepted boolean"))
+    assert len(seen) > 100_000 and model.count() == len(seen)
+    unseen = [("\u0002" + "".join(chr(0x4E00 + 40 * i + k) for k in range(40)), i) for i in range(20)]
+    urls = spark.createDataFrame([*unseen, ("", 20), (None, 21), (texts[0][0], 22)], "marked string, n int")
+    got = {r["n"]: r["score"] for r in url_filter.score(urls, model, ["n"]).collect()}
+    assert len(got) == 23 and {got[i] for i in range(22)} == {0.0} and got[22] > 0
+
+
 def test_registered():
     assert {"op4_html_extract", "op5_url_filter"} <= set(LLM_QUERIES)
