@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabsmith.llm import fingerprints, html_extract, language_id, mixing, near_dup, packing, quality, token_rollup, url_filter, vector_search
-from tabsmith.llm.common import read_table
+from tabsmith.llm.common import read_table, staged
 from tabsmith.session import stage_path
 
 ALLOW_RULES = ("org/", "com/fr/")
@@ -61,21 +61,21 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-SIGNS = r"[|#$%&*]+"
-
-
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals after three batches: all documents, the toxic ones deleted, those with signs in them counted anew without."""
+    """Totals after three batches: all documents, the toxic ones deleted, those of low quality counted anew without signs."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
-    labels = read_table(spark, sf_dir, "labels", "doc_id", "toxic").where("doc_id is not null")
+    labels = read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic").where("doc_id is not null")
     versions = {"byte_bpe_50k": tokenizer_path("byte_bpe_50k.json")}
     toxic = labels.where("toxic = 1").select("doc_id").distinct()
-    revised = docs.where(F.col("text").rlike(SIGNS)).withColumn("text", F.regexp_replace("text", SIGNS, ""))
+    poor = labels.where("quality = 0").select("doc_id").distinct().join(toxic, "doc_id", "left_anti")
+    unsigned = docs.withColumn("text", F.regexp_replace("text", r"[|!#$%&*]+", ""))
+    # Counts are joined, not texts: ids are distinct, and an inner join, unlike a semi join, is not pushed below the counting.
+    revised = staged(token_rollup.counted(unsigned, versions, words="words").join(poor.hint("merge"), "doc_id"), "revised-counts")
     rollup = token_rollup.TokenRollup(spark, stage_path(spark, "token-rollup"))
     rollup.apply("1-load", token_rollup.counted(docs, versions, words="words"))
-    rollup.apply("2-revised", token_rollup.counted(revised, versions, words="words"))
-    rollup.apply("3-toxic", deletes=toxic)
-    rollup.apply("2-revised", token_rollup.counted(revised, versions, words="words"))  # a batch that comes twice counts once
+    rollup.apply("2-toxic", deletes=toxic)
+    rollup.apply("3-revised", revised)
+    rollup.apply("2-toxic", deletes=toxic)  # a batch that comes twice counts once
     return rollup.totals()
 
 

@@ -173,10 +173,11 @@ def test_registered_totals(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     labels = spark.read.parquet(f"{SF}/labels.parquet").collect()
     toxic = {r["doc_id"] for r in labels if r["toxic"] == 1}
+    poor = {r["doc_id"] for r in labels if r["quality"] == 0} - toxic
     path, want = tokenizer_path("byte_bpe_50k.json"), {}
     for d in docs:
         if d["doc_id"] not in toxic:
-            text = d["text"].translate(str.maketrans("", "", "|#$%&*"))
+            text = d["text"].translate(str.maketrans("", "", "|!#$%&*")) if d["doc_id"] in poor else d["text"]
             for version, n in (("byte_bpe_50k", len(tokens.encode(path, text))), ("words", len(text.encode().split()))):
                 key = (d["source"], d["lang"], version)
                 want[key] = tuple(np.add(want.get(key, (0, 0)), (1, n)))
@@ -184,6 +185,24 @@ def test_registered_totals(spark):
     assert got == want
 
 
+def test_revised_documents_are_chosen_by_label(spark, tmp_path, monkeypatch):
+    texts = ["a ! b | c", "a ! b | c", "a ! b | c", "d e", "f & g"]
+    docs_of(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, 0, 0), (1, 1, 0), (2, 0, 1), (3, 0, 0), (0, 0, 0), (None, 0, 0)],
+                          "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    batches = {}
+    apply = token_rollup.TokenRollup.apply
+
+    def recorded(self, batch, sets=None, deletes=None):
+        batches[batch] = sets
+        return apply(self, batch, sets, deletes)
+
+    monkeypatch.setattr(token_rollup.TokenRollup, "apply", recorded)
+    totals = LLM_QUERIES["op9_token_counts"](spark, str(tmp_path)).where("version = 'words'").collect()
+    assert {(r["source"], r["lang"]): r["tokens"] for r in totals} == {("a", "en"): 3, ("b", "fr"): 5, ("a", "fr"): 2, ("b", "en"): 3}
+    assert {r["doc_id"] for r in batches["3-revised"].collect()} == {0, 3}
+
+
 def test_pipeline_stage_by_stage(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     kept = []
