@@ -10,6 +10,12 @@ The classifier is fitted on a bounded sample of labelled rows: at most
 ``SAMPLE_ROWS``, dealt evenly over the languages in hash order. Every text is
 predicted, from the whole text and nothing else.
 
+The score tells the learned languages apart and says nothing of others, so a
+stage that keeps identified documents also asks how many of a text's letter
+trigrams training knows (:func:`known_share`): noise, code and unlearned
+languages and scripts hold few. The least share is calibrated per language on
+labelled rows outside the sample, with room for chance in short texts.
+
 Cases: a text that is null or has no letter is ``und`` with score 0; so is
 every text where there is nothing to learn from. Rows without an id or a label
 teach nothing. Repeated rows are predicted alike and teach once. Very long
@@ -35,6 +41,12 @@ EPOCHS = 12
 SHARPNESS = 4.0       # of the logistic curve from a margin to a probability
 SLICE_CHARS = 200_000
 MIN_SCORE = 0.3       # below it a stage that keeps identified documents rejects
+CALIBRATION_ROWS = 1500   # labelled rows outside the sample that set the least share of known trigrams, at most
+KNOWN_GRAMS = 100_000     # trigrams that are known, at most: those in most sample texts
+KNOWN_IN = 0.001          # a known trigram is in this share of the sample's texts
+CLEAN_QUANTILE = 0.01     # of the calibration rows' shares of a language ...
+CLEAN_SLACK = 0.85        # ... times this is the least share
+CHANCE = 2.0              # standard errors below it that a short text may fall
 UNDETERMINED = "und"
 
 LETTER = re.compile(r"[^\W\d_]")
@@ -66,6 +78,29 @@ def features(text: str) -> np.ndarray:
     return (counts / norm if norm else counts).astype(np.float32)
 
 
+def trigrams(text: str) -> np.ndarray:
+    """Letter trigrams of a whole text, as often as they occur: code points packed into 63 bits, words padded with blanks."""
+    found = [np.zeros(0, dtype=np.int64)]
+    for start in range(0, len(text), SLICE_CHARS):
+        lead = min(start, 2)
+        piece = text[start - lead:start + SLICE_CHARS].lower()
+        code = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        code = np.where(code < 128, _PLAIN[np.minimum(code, 127)], code).astype(np.int64)
+        code = np.concatenate([[0x20] * (start == 0), code, [0x20] * (start + SLICE_CHARS >= len(text))]).astype(np.int64)
+        a, b, c = code[:-2], code[1:-1], code[2:]
+        found.append((a << 42 | b << 21 | c)[b != 0x20])
+    return np.concatenate(found)
+
+
+def known_share(text: str, known: np.ndarray) -> tuple[float, int]:
+    """Share of a text's letter trigrams that are in ``known`` (sorted), and their number."""
+    grams = trigrams(text)
+    if not len(grams) or not len(known):
+        return 0.0, len(grams)
+    at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+    return float(np.mean(known[at] == grams)), len(grams)
+
+
 def has_letter(text: str | None) -> bool:
     return text is not None and LETTER.search(text) is not None
 
@@ -156,14 +191,19 @@ def fit_sample(x: np.ndarray, languages: list[str]) -> LanguageModel:
     return model
 
 
-def fit(docs: DataFrame, teaches: Column) -> LanguageModel:
-    """Fit on a bounded sample of the rows for which ``teaches`` holds."""
+def sample(docs: DataFrame, teaches: Column, most: int) -> DataFrame:
+    """(doc_id, lang, text) of at most ``most`` labelled rows for which ``teaches`` holds, dealt over the languages."""
     labelled = docs.where(teaches & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     key = F.xxhash64(F.col("doc_id").cast("string"))
     turn = F.row_number().over(Window.partitionBy("lang").orderBy("_key", "doc_id"))
     ids = (labelled.select("doc_id", "lang", key.alias("_key")).withColumn("_turn", turn)
-           .where(F.col("_turn") <= SAMPLE_ROWS).orderBy("_turn", "_key", "doc_id").limit(SAMPLE_ROWS).select("doc_id", "lang"))
-    chosen = labelled.select("doc_id", "lang", "text").join(F.broadcast(ids.distinct()), ["doc_id", "lang"])  # SAMPLE_ROWS rows at most
+           .where(F.col("_turn") <= most).orderBy("_turn", "_key", "doc_id").limit(most).select("doc_id", "lang"))
+    return labelled.select("doc_id", "lang", "text").join(F.broadcast(ids.distinct()), ["doc_id", "lang"])  # ``most`` rows at most
+
+
+def fit(docs: DataFrame, teaches: Column) -> LanguageModel:
+    """Fit on a bounded sample of the rows for which ``teaches`` holds."""
+    chosen = sample(docs, teaches, SAMPLE_ROWS)
 
     @F.pandas_udf("binary")
     def vector(texts: pd.Series) -> pd.Series:
@@ -175,6 +215,44 @@ def fit(docs: DataFrame, teaches: Column) -> LanguageModel:
     return fit_sample(x.astype(np.float32), [r["lang"] for r in rows])
 
 
+def known_grams(docs: DataFrame, teaches: Column) -> np.ndarray:
+    """Sorted trigrams that enough texts of the sample hold, KNOWN_GRAMS at most."""
+
+    @F.pandas_udf("array<long>")
+    def distinct(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(trigrams(t)) for t in texts], dtype=object)
+
+    texts = sample(docs, teaches, SAMPLE_ROWS).select(distinct("text").alias("grams"))
+    counts = texts.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    size = sample(docs, teaches, SAMPLE_ROWS).select("doc_id").count()
+    enough = counts.where(F.col("n") >= max(1, int(np.ceil(KNOWN_IN * size))))
+    return np.sort(enough.orderBy(F.desc("n"), "gram").limit(KNOWN_GRAMS).select("gram").toPandas()["gram"].to_numpy(dtype=np.int64))
+
+
+def least_shares(docs: DataFrame, calibrates: Column, known: np.ndarray) -> dict[str | None, float]:
+    """Least share of known trigrams by language; under None that of a language without calibration rows."""
+
+    @F.pandas_udf("double")
+    def share(texts: pd.Series) -> pd.Series:
+        return pd.Series([known_share(t, known)[0] if has_letter(t) else None for t in texts], dtype=float)
+
+    rows = sample(docs, calibrates, CALIBRATION_ROWS).select("lang", share("text").alias("share")).where("share is not null")
+    shares: dict[str | None, list[float]] = {None: []}
+    for r in rows.limit(CALIBRATION_ROWS).collect():
+        shares.setdefault(r["lang"], []).append(r["share"])
+        shares[None].append(r["share"])
+    return {lang: CLEAN_SLACK * float(np.quantile(v, CLEAN_QUANTILE, method="lower")) if v else 0.0 for lang, v in shares.items()}
+
+
+def is_known(text: str | None, lang: str, known: np.ndarray, least: dict[str | None, float]) -> bool:
+    """Whether enough of a text's trigrams are known for the language that it was given."""
+    if not has_letter(text):
+        return False
+    share, n = known_share(text, known)
+    level = least.get(lang, least[None])
+    return share > 0 and share >= level - CHANCE * (level * (1.0 - level) / n) ** 0.5
+
+
 def with_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``docs`` with ``_language``: a struct of lang_pred and score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -195,7 +273,15 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of ``docs`` whose language is identified with at least ``min_score``; same columns."""
-    named = with_language(docs, fit(docs, ~held_out()))
+    """The rows of ``docs`` in a learned language, identified with at least ``min_score``; same columns."""
+    teaches = ~held_out()
+    named = with_language(docs, fit(docs, teaches))
+    known = known_grams(docs, teaches)
+    shared = docs.sparkSession.sparkContext.broadcast((known, least_shares(docs, held_out(), known)))
+
+    @F.pandas_udf("boolean")
+    def learned(texts: pd.Series, langs: pd.Series) -> pd.Series:
+        return pd.Series([is_known(t, lang, *shared.value) for t, lang in zip(texts, langs, strict=True)], dtype=bool)
+
     kept = (F.col("_language.lang_pred") != UNDETERMINED) & (F.col("_language.score") >= min_score)
-    return named.where(kept).drop("_language")
+    return named.where(kept & learned("text", F.col("_language.lang_pred"))).drop("_language")

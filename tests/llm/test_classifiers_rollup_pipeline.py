@@ -13,7 +13,7 @@ from tabsmith.llm import language_id, quality, token_rollup, tokens
 from tabsmith.llm.common import staged
 from tabsmith.llm.queries import LLM_ORACLE, LLM_QUERIES, graded_labels, tokenizer_path
 
-from .conftest import CLASHING, SF, docs_of
+from .conftest import CLASHING, DOCS, SF, docs_of
 
 
 def held_out(doc_id):
@@ -44,6 +44,29 @@ def test_languages_of_odd_texts(spark):
     assert {r["lang_pred"] for r in unlabelled} == {"und"}
 
 
+def test_noise_and_unlearned_scripts_are_rejected(spark):
+    import random
+
+    rng = random.Random(3)
+    letters = {"ascii": "abcdefghijklmnopqrstuvwxyz", "cyrillic": [chr(c) for c in range(0x430, 0x450)],
+               "greek": [chr(c) for c in range(0x3B1, 0x3CA)], "han": [chr(c) for c in range(0x4E00, 0x5E00)]}
+    noise = [" ".join("".join(rng.choices(some, k=rng.randint(2, 9))) for _ in range(60)) for some in letters.values() for _ in range(5)]
+    noise += ["zzzz " * 50, "qx" * 300]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    odd = spark.createDataFrame([(10 ** 9 + i, t, None, "a", len(t)) for i, t in enumerate(noise)], DOCS)
+    kept = {r["doc_id"] for r in language_id.keep_identified(docs.unionByName(odd)).select("doc_id").collect()}
+    clean = {r["doc_id"] for r in docs.where("text rlike '[a-z]'").collect()}
+    assert not [i for i in kept if i >= 10 ** 9]
+    assert len(kept & clean) > 0.99 * len(clean)
+
+
+def test_trigrams_do_not_depend_on_slices(monkeypatch):
+    text = "Der Zug fährt, 12 le train part. " * 40
+    whole = np.sort(language_id.trigrams(text))
+    monkeypatch.setattr(language_id, "SLICE_CHARS", 37)
+    assert np.array_equal(whole, np.sort(language_id.trigrams(text)))
+
+
 def test_features_do_not_depend_on_slices(monkeypatch):
     text = "Der Zug fährt, le train part. " * 40
     whole = language_id.features(text)
