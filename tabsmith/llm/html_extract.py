@@ -5,8 +5,10 @@ their element, role or class words (menus, notices, adverts, forms, comments
 and the like) are cut first. Every paragraph then gets points for its length
 and its commas and passes them to its ancestors, in full to its parent, half
 to the next and less further up. An element's points are discounted by its
-link density; the best one is the main container, and siblings of it are kept
-that score near it or are paragraphs in their own right. The text is that of
+link density; the best one is the main container. Where it lies inside an
+article or main element, all of that element is kept. Elsewhere siblings of it
+are kept that score near it or hold paragraphs in their own right, with the
+headings above them and everything between them but menus. The text is that of
 the kept elements, one line per block.
 
 Spark reads, splits and writes the rows; a task parses one page at a time, so
@@ -68,7 +70,7 @@ SIBLING_SHARE = 0.2      # of the best score, for a sibling to be kept
 SIBLING_MIN = 10.0
 SIBLING_LENGTH = 80      # a sibling paragraph of this length and few links is kept
 SIBLING_LINKS = 0.25
-LIST_LINKS = 0.5         # a list or table of this link density inside the container is a menu
+LIST_LINKS = 0.5         # a list or table of this link density and short items is a menu, except in an article
 
 
 class Element:
@@ -228,33 +230,79 @@ def best_container(root: Element) -> Element | None:
     return best
 
 
+def lifted(best: Element) -> Element:
+    """The outermost article that holds the best container, else the main element, else the container itself with bare wrappers."""
+    article = main = None
+    node = best
+    while node is not None:
+        if node.tag == "article":
+            article = node
+        elif node.tag == "main":
+            main = node
+        node = node.parent
+    if article is not None or main is not None:
+        return article if article is not None else main
+    while best.parent is not None and best.parent.parent is not None and best.parent.length == best.length:
+        best = best.parent
+    return best
+
+
+def holds_paragraph(node: Element) -> bool:
+    """Whether the element is or holds a paragraph of some length and few links."""
+    if node.tag in ("p", "pre", "blockquote") and node.length >= SIBLING_LENGTH and link_density(node) < SIBLING_LINKS:
+        return True
+    return any(not isinstance(p, str) and holds_paragraph(p) for p in node.parts)
+
+
+def items(node: Element) -> int:
+    return sum((p.tag in ("li", "td", "th", "dt", "dd")) + items(p) for p in node.parts if not isinstance(p, str))
+
+
+def is_menu(node: Element) -> bool:
+    """Whether a block is mostly links and its items are short; references are longer."""
+    return link_density(node) > LIST_LINKS and node.length < PARAGRAPH_MIN * max(1, items(node))
+
+
 def kept_elements(best: Element) -> list:
-    """The best container and those of its siblings that belong to it, in page order."""
+    """The main container and what belongs to it among its siblings, text included, in page order."""
+    best = lifted(best)
     if best.parent is None:
         return [best]
+    parts = best.parent.parts
     least = max(SIBLING_MIN, SIBLING_SHARE * best.score * (1.0 - link_density(best)))
-    kept = []
-    for part in best.parent.parts:
+    chosen = []
+    for k, part in enumerate(parts):
         if part is best:
-            kept.append(part)
+            chosen.append(k)
         elif not isinstance(part, str) and part.tag in BLOCK:
-            paragraph = part.tag == "p" and part.length >= SIBLING_LENGTH and link_density(part) < SIBLING_LINKS
+            paragraph = holds_paragraph(part) and link_density(part) < SIBLING_LINKS
             title = part.tag == "h1" or (part.tag in ("header", "hgroup") and best.parent.tag in ("article", "main"))
             if paragraph or title or part.score * (1.0 - link_density(part)) >= least:
-                kept.append(part)
-    return kept
+                chosen.append(k)
+    first, last = chosen[0], chosen[-1]
+    while first and (isinstance(parts[first - 1], str) and parts[first - 1].isspace()
+                     or not isinstance(parts[first - 1], str) and parts[first - 1].tag in HEADINGS):
+        first -= 1
+    return [p for k, p in enumerate(parts[first:last + 1], first) if k in chosen or isinstance(p, str) or p.tag not in BLOCK or not is_menu(p)]
 
 
-def blocks(node: Element, out: list[str], line: list[str]) -> None:
-    """Append finished lines to ``out``; ``line`` holds the open one."""
+def in_article(node: Element | None) -> bool:
+    while node is not None and node.tag not in ("article", "main"):
+        node = node.parent
+    return node is not None
+
+
+def blocks(node: Element, out: list[str], line: list[str], article: bool = False) -> None:
+    """Append finished lines to ``out``; ``line`` holds the open one. Lists of links go but in an article."""
     block = node.tag in BLOCK
     if block:
         _finish(out, line)
+    article = article or node.tag in ("article", "main")
     for part in node.parts:
         if isinstance(part, str):
             line.append(part)
-        elif not (part.tag in ("ul", "ol", "table", "dl") and part.length and link_density(part) > LIST_LINKS):
-            blocks(part, out, line)
+        elif article or not (part.tag in ("ul", "ol", "table", "dl") and is_menu(part)):
+            blocks(part, out, line, article)
     if block:
         _finish(out, line)
 
@@ -278,7 +326,10 @@ def main_text(page: str | None) -> str:
     out: list[str] = []
     line: list[str] = []
     for node in [root] if best is None else kept_elements(best):
-        blocks(node, out, line)
+        if isinstance(node, str):
+            line.append(node)
+        else:
+            blocks(node, out, line, in_article(node))
     _finish(out, line)
     return "\n".join(out)
 

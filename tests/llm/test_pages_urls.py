@@ -33,6 +33,39 @@ def test_broken_and_odd_pages():
     assert html_extract.main_text(long).count("\n") == 2999
 
 
+LONG = "".join(f"<p>{ARTICLE} {ARTICLE} {i}</p>" for i in range(12))
+SHORT = "<h2>Short {0}</h2><p>Short section {0}, and it is still a part of the article. " + "It goes on. " * 12 + "</p>"
+NAV = '<nav><a href="/">Menu no</a></nav>'
+
+
+def test_all_of_an_article_in_sections_is_kept():
+    page = f"""<body>{NAV}<article><h1>Title</h1><p>Lead.</p><section>{LONG}</section>Bare <b>text</b>
+<section>{SHORT.format(1)}</section><section>{SHORT.format(2)}</section><h3>Few</h3><ul><li>Point</li></ul><pre>code()</pre>
+<table><tr><td>Cell</td></tr></table><blockquote>Said.</blockquote><h2>References</h2>
+<ol><li><a href="/r">A reference of the article, by its author</a></li></ol><div class="share">no</div></article><div>no {ARTICLE[:30]}</div></body>"""
+    text = html_extract.main_text(page)
+    lines = text.split("\n")
+    assert lines[:2] == ["Title", "Lead."] and lines[-4:] == ["Cell", "Said.", "References", "A reference of the article, by its author"]
+    assert {"Bare text", "Short 1", "Short 2", "Few", "Point", "code()"} <= set(lines)
+    assert sum(x.startswith("Short section") for x in lines) == 2 and "no" not in text.lower().split()
+    assert html_extract.main_text(page.replace("article>", "main>")) == text
+
+
+def test_sections_beside_each_other_are_kept_without_an_article():
+    page = f"""<body>{NAV}<div class="page-body"><h2>One</h2><section>{LONG}</section><h2>Two</h2>Bare <i>text</i><p>Brief.</p>
+<ul><li>Point</li></ul><ul><li><a href="/m">Link no</a></li></ul><section>{SHORT.format(3)}</section></div><div>no</div></body>"""
+    lines = html_extract.main_text(page).split("\n")
+    assert lines[0] == "One" and lines[-6:-1] == ["Two", "Bare text", "Brief.", "Point", "Short 3"]
+    assert lines[-1].startswith("Short section 3") and not any("no" in x.split() for x in lines)
+
+
+def test_references_without_an_article_are_kept_and_menus_go():
+    page = f"""<body>{NAV}<div>{LONG}<h2>References</h2><ol><li><a href="/r">A reference of the text, by its author</a></li></ol>
+<ul><li><a href="/m">Link no</a></li><li><a href="/m">More no</a></li></ul></div></body>"""
+    lines = html_extract.main_text(page).split("\n")
+    assert lines[-2:] == ["References", "A reference of the text, by its author"] and not any("no" in x.split() for x in lines)
+
+
 def test_extract_rows(spark):
     df = spark.createDataFrame([(1, "u", PAGE, "x", 5), (1, "u", PAGE, "x", 5), (None, None, None, "x", 5)],
                                "page_id long, url string, html string, text string, n_chars long")
