@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import fingerprints, html_extract, language_id, mixing, near_dup, packing, quality, token_rollup, url_filter, vector_search
-from tabsmith.llm.common import read_table, staged
+from tabsmith.llm import (
+    fingerprints, html_extract, language_id, merkle, mixing, near_dup, packing, quality, spelling, token_rollup, url_filter, vector_search,
+)
+from tabsmith.llm.common import DOCUMENT_COLUMNS, ascii_lower, read_table, staged
+from tabsmith.llm.oracles import SPELLING_SQL, manifest_sql
 from tabsmith.session import stage_path
 
 ALLOW_RULES = ("org/", "com/fr/")
@@ -94,6 +97,20 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.grade(docs, graded_labels(spark, sf_dir), GOOD_GRADE)
 
 
+MANIFEST_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", *DOCUMENT_COLUMNS)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    return merkle.manifest(docs, MANIFEST_FIELDS, "lang", tampered, {"text": ascii_lower(F.col("text"))})
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return spelling.variant_groups(spelling.frequent_words(docs, damaged_every=spelling.DAMAGED_EVERY))
+
+
 LLM_QUERIES = {
     "op1_vector_search": op1_vector_search,
     "op2_mix_sources": op2_mix_sources,
@@ -105,6 +122,8 @@ LLM_QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_token_counts": op9_token_counts,
     "op10_quality_classifier": op10_quality_classifier,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 LLM_ORACLE: dict[str, str] = {
@@ -155,4 +174,6 @@ best AS (
 )
 SELECT doc_id, size, source_size, target, size * (whole + again::INT) AS taken
 FROM drawn JOIN best ON best.draw = drawn.draw AND best.source IS NOT DISTINCT FROM drawn.source""",
+    "op12_merkle_manifest": manifest_sql(MANIFEST_FIELDS, {"text": "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"}),
+    "op13_spelling_variants": SPELLING_SQL,
 }
