@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabsmith.llm import (
-    fingerprints, html_extract, language_id, merkle, mixing, near_dup, packing, quality, spelling, token_rollup, url_filter, vector_search,
+    fingerprints, html_extract, language_id, merkle, mixing, near_dup, packing, pii, quality, spelling, token_rollup, url_filter, vector_search,
 )
 from tabsmith.llm.common import DOCUMENT_COLUMNS, ascii_lower, read_table, staged
 from tabsmith.llm.oracles import SPELLING_SQL, manifest_sql
@@ -97,6 +97,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.grade(docs, graded_labels(spark, sf_dir), GOOD_GRADE)
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_spans(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 MANIFEST_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -122,6 +126,7 @@ LLM_QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_token_counts": op9_token_counts,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_pii": op11_pii,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_spelling_variants": op13_spelling_variants,
 }

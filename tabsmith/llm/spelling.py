@@ -37,6 +37,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -261,27 +262,29 @@ def _half(length: Column, side: Column) -> Column:
     return F.when(side == BY_START, F.floor(length / 2)).otherwise(F.ceil(length / 2)).cast("int")
 
 
-def _numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _numbering(block_chars: int):
     """Block numbers within a sorted range, by the code points so far."""
-    from pyspark import TaskContext
 
-    part, used, block, side = TaskContext.get().partitionId(), 0, 0, None
-    for rows in batches:
-        blocks = []
-        for length, own_side in zip(rows["key"].str.len(), rows["side"], strict=True):
-            if used and (own_side != side or used + length > BLOCK_CHARS):
-                used, block = 0, block + 1
-            used, side = used + length, own_side
-            blocks.append((part << 32) + block)
-        yield rows.assign(block=blocks)
+    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, used, block, side = TaskContext.get().partitionId(), 0, 0, None
+        for rows in batches:
+            blocks = []
+            for length, own_side in zip(rows["key"].str.len(), rows["side"], strict=True):
+                if used and (own_side != side or used + length > block_chars):
+                    used, block = 0, block + 1
+                used, side = used + length, own_side
+                blocks.append((part << 32) + block)
+            yield rows.assign(block=blocks)
 
+    return number
 
-def blocks_of(words: DataFrame) -> DataFrame:
+
+def blocks_of(words: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(side, key, word, n, block): the vocabulary sorted by word and by reversed word, cut into blocks."""
     sides = words.select("word", "n", F.explode(F.array(F.lit(BY_START), F.lit(BY_END))).alias("side"))
     keyed = sides.select("side", F.when(F.col("side") == BY_START, F.col("word")).otherwise(F.reverse("word")).alias("key"), "word", "n")
     ranged = keyed.repartitionByRange("side", "key").sortWithinPartitions("side", "key")
-    return ranged.mapInPandas(_numbered, "side int, key string, word string, n long, block long")
+    return ranged.mapInPandas(_numbering(block_chars), "side int, key string, word string, n long, block long")
 
 
 def _searched(key, words: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
@@ -298,9 +301,9 @@ def _searched(key, words: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
     return pd.concat(found)
 
 
-def near_words(words: DataFrame) -> DataFrame:
+def near_words(words: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(word, near, near_n): every word of (word, n) with every word one edit away, once."""
-    blocks = staged(blocks_of(words), "spelling-blocks")
+    blocks = staged(blocks_of(words, block_chars), "spelling-blocks")
     length = F.length("word")
     halves = [_half(length + d, F.col("side")) for d in (-1, 0, 1)]  # of queries a letter shorter, equal, longer
     announced = blocks.select("side", "block", "key", F.explode(F.array_distinct(F.array(*halves))).alias("h")).select(
