@@ -37,6 +37,8 @@ import hashlib
 import io
 import re
 from collections.abc import Iterator
+from random import Random
+from string import ascii_lowercase
 
 import numpy as np
 import pandas as pd
@@ -144,19 +146,19 @@ def acceptable(kind: int, text: str, start: int, end: int) -> bool:
 
 # --- labelled spans for training --------------------------------------------
 
-def _number(random, n: int) -> str:
-    return "".join(str(d) for d in random.integers(0, 10, n))
+def _number(random: Random, n: int) -> str:
+    return "".join(random.choices("0123456789", k=n))
 
 
-def _word(random, low: int = 3, high: int = 9) -> str:
-    return "".join(chr(97 + c) for c in random.integers(0, 26, random.integers(low, high)))
+def _word(random: Random, low: int = 3, high: int = 9) -> str:
+    return "".join(random.choices(ascii_lowercase, k=random.randrange(low, high)))
 
 
-def _pick(random, *choices: str) -> str:
-    return choices[random.integers(0, len(choices))]
+def _pick(random: Random, *choices: str) -> str:
+    return random.choice(choices)
 
 
-def written_span(random, kind: int) -> str:
+def written_span(random: Random, kind: int) -> str:
     """A made-up value of a kind in one of its spellings."""
     if kind == EMAIL:
         local = _pick(random, _word(random), f"{_word(random)}.{_word(random)}", f"{_word(random)}{_number(random, 2)}",
@@ -167,9 +169,9 @@ def written_span(random, kind: int) -> str:
         parts = [host, *([_word(random)] if random.random() < 0.4 else []), _pick(random, "com", "org", "net", "de", "fr", "es", "io", "edu")]
         return local + at + dot.join(parts)
     if kind == IP:
-        return _pick(random, ".", ".", ".", "[.]", " . ", "(.)", " [.] ").join(str(p) for p in random.integers(0, 256, 4))
+        return _pick(random, ".", ".", ".", "[.]", " . ", "(.)", " [.] ").join(str(random.randrange(256)) for _ in range(4))
     if kind == CARD:
-        body = _pick(random, "4", "5", "37", "6") + _number(random, int(random.choice([13, 14, 14, 14, 15])))
+        body = _pick(random, "4", "5", "37", "6") + _number(random, random.choice([13, 14, 14, 14, 15]))
         digits = next(body + str(d) for d in range(10) if luhn(body + str(d)))
         gap = _pick(random, "", "", "", " ", "-", ".", "/", "  ")
         return gap.join(digits[i:i + 4] for i in range(0, len(digits), 4))
@@ -179,21 +181,21 @@ def written_span(random, kind: int) -> str:
                  f"{a}.{b}.{c}", f"0{a}/{b}{c}", f"0{a} {b} {c}", f"+{_number(random, 11)}", f"{country} {a}/{b} {c}")
 
 
-def lookalike(random) -> str:
+def lookalike(random: Random) -> str:
     """Something with digits or at signs that is no personal data. Digit sums are left to :func:`acceptable`."""
-    hexes = "".join("0123456789abcdef"[d] for d in random.integers(0, 16, random.integers(8, 41)))
-    year = str(random.integers(1900, 2100))
+    hexes = "".join(random.choices("0123456789abcdef", k=random.randrange(8, 41)))
+    year = str(random.randrange(1900, 2100))
     return _pick(random, hexes, f'"{hexes}"', f"AKIA{hexes[:16].upper()}", f"password={hexes}", f"{year}-{_number(random, 2)}-{_number(random, 2)}",
                  f"{_number(random, 1)}.{_number(random, 1)}.", f"v{_number(random, 1)}.{_number(random, 2)}.{_number(random, 1)}",
-                 _number(random, int(random.integers(1, 9))), f"{_number(random, 3)}.{_number(random, 2)} EUR", f"@{_word(random)}",
+                 _number(random, random.randrange(1, 9)), f"{_number(random, 3)}.{_number(random, 2)} EUR", f"@{_word(random)}",
                  f"{_number(random, 2)}:{_number(random, 2)}", f"#{_number(random, 5)}", f"{_number(random, 1)},{_number(random, 3)}",
                  f"{year}-{int(year) + 1}", f"{_number(random, 2)} @ {_number(random, 1)}.{_number(random, 2)}", f"ISBN {_number(random, 10)}")
 
 
-def training_row(random, passages: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def training_row(random: Random, passages: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Classes and tags of ``TRAIN_LENGTH`` letters: a passage with written spans and lookalikes."""
-    passage = passages[random.integers(0, len(passages))] if passages else " ".join(_word(random) for _ in range(40))
-    offset = int(random.integers(0, max(1, len(passage) - TRAIN_LENGTH)))
+    passage = random.choice(passages) if passages else " ".join(_word(random) for _ in range(40))
+    offset = random.randrange(max(1, len(passage) - TRAIN_LENGTH))
     passage = passage[offset:offset + 2 * TRAIN_LENGTH]
     text, tags = "", []
 
@@ -208,18 +210,18 @@ def training_row(random, passages: list[str]) -> tuple[np.ndarray, np.ndarray]:
             own = [1 + 2 * kind] + [2 + 2 * kind] * (len(part) - 1)
         tags.extend(own)
 
-    cut = int(random.integers(0, 40))
+    cut = random.randrange(40)
     add(passage[:cut].rsplit(" ", 1)[0])
-    for _ in range(random.integers(1, 4)):
+    for _ in range(random.randrange(1, 4)):
         add(_pick(random, " ", " ", " ", ", ", ": ", "\n", " ("))
         draw = random.random()
         if draw < 0.6:
-            kind = int(random.integers(0, 4))
+            kind = random.randrange(4)
             add(written_span(random, kind), kind)
         elif draw < 0.9:
             add(lookalike(random))
         if random.random() < 0.6:
-            more = int(random.integers(4, 30))
+            more = random.randrange(4, 30)
             add(_pick(random, " ", " ", ". ", ", ", ") ") + passage[cut:cut + more])
             cut += more
     add(" " + passage[cut:])
@@ -229,7 +231,7 @@ def training_row(random, passages: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fitted(passages: list[str]) -> Tagger:
-    random = np.random.default_rng(SEED)
+    random = Random(SEED)
     tagger = new_tagger(len(KINDS), HIDDEN, SEED)
 
     def batches():

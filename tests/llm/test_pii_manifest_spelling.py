@@ -7,8 +7,10 @@ import itertools
 import re
 import zlib
 from collections import Counter
+from random import Random
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,13 +96,19 @@ def test_tagger_gradient_and_best_tags():
 
 
 @pytest.fixture(scope="module")
-def model():
-    return pii.fitted(["plain words of a passage that has no data in it, and some more of them here. "] * 5)
+def passages():
+    texts = pq.read_table(f"{SF_SMALL}/documents.parquet")["text"].to_pylist()
+    return [t[:pii.PASSAGE_CHARS] for t in texts if t]
 
 
-def test_tagger_finds_held_out_spans(model):
-    random = np.random.default_rng(99)
-    rows = [pii.training_row(random, ["other words that the training never saw, about nothing at all in particular"]) for _ in range(600)]
+@pytest.fixture(scope="module")
+def model(passages):
+    return pii.fitted(passages[::2])
+
+
+def test_tagger_finds_held_out_spans(model, passages):
+    random = Random(99)
+    rows = [pii.training_row(random, passages[1::2]) for _ in range(600)]
     found = [set(pii.tagged_runs(t)) for t in model.best_tags(model.emissions([c for c, _ in rows]))]
     true = [set(pii.tagged_runs(t)) for _, t in rows]
     hit, wanted, given = (sum(map(len, x)) for x in ((a & b for a, b in zip(true, found, strict=True)), true, found))
