@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tabsmith.session import stage_path
+from tabsmith.sources import csv_ranges
 
 
 #: RFC 4180: a quote inside a quoted field is doubled; blanks belong to the field.
@@ -13,16 +14,20 @@ CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteS
 
 def read_text_csv(spark: SparkSession, path: str, columns: list[str] | None = None, multi_line: bool = True) -> DataFrame:
     """Header CSV read with every column as a string. No type inference: a
-    ZIP such as ``01234`` stays ``01234``. With ``columns`` the schema is
-    declared (no pass over the data to read the header names).
-
-    ``multi_line`` allows line breaks inside quoted fields; a file is then
-    read by one task, so large inputs should come in many files, or be read
-    with ``multi_line=False`` where no field holds a line break. A malformed
-    row fails the job instead of being shifted."""
-    reader = spark.read.options(**CSV_OPTIONS).option("mode", "FAILFAST").option("multiLine", multi_line)
+    ZIP such as ``01234`` stays ``01234``. Files with the same columns in
+    different orders are aligned by name; other columns fail, and so does a
+    malformed row.
+
+    ``multi_line`` allows line breaks inside quoted fields; files of any size
+    are still read by many tasks (:mod:`tabsmith.sources.csv_ranges`), at the
+    cost of a first pass that counts quotes. With ``multi_line=False``, where
+    no field holds a line break, there is one pass, and every file must have
+    the same header."""
+    if multi_line:
+        return csv_ranges.read(spark, path, CSV_OPTIONS, columns, staged=lambda df: read_stage(spark, write_stage(df, "csv-ranges")))
+    reader = spark.read.options(**CSV_OPTIONS).option("mode", "FAILFAST").option("enforceSchema", False)
     if columns is not None:
-        reader = reader.schema(", ".join(f"`{c}` string" for c in columns)).option("enforceSchema", False)
+        reader = reader.schema(", ".join(f"`{c}` string" for c in columns))
     else:
         reader = reader.option("inferSchema", False)
     return reader.csv(path)
