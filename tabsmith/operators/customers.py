@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.functions import fixed
 from tabsmith.operators.relational import distinct_union, rank_within, union_all
+from tabsmith.sources.files import staged
 
 
 def crm_customer_activity(crm_activity: DataFrame) -> DataFrame:
@@ -129,8 +130,8 @@ def mark_most_used(usage: DataFrame, address_col: str) -> DataFrame:
     """Total usage per (address, customer), with ``is_most_used`` true for the
     address that :func:`rank_addresses` ranks first. The first address is a
     grouped minimum joined back, so no task orders all addresses of a hot
-    customer."""
-    totals = address_totals(usage, address_col)
+    customer. The totals are written once and read by both sides."""
+    totals = staged(address_totals(usage, address_col), "address-totals")
     first = totals.groupBy(F.col("external_id").alias("__customer")).agg(
         F.min(F.struct((-F.col("order_count")).alias("n"), F.col(address_col).alias("a"))).alias("__first"))
     return totals.join(first, F.col("external_id") == F.col("__customer")).select(

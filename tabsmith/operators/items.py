@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tabsmith.functions import fixed
 from tabsmith.functions.items import unit_price
 from tabsmith.operators.relational import default_like, distinct_union, first_per_key, union_all, with_group_total
+from tabsmith.sources.files import staged
 
 
 # --------------------------------------------------------- purchase units
@@ -216,16 +217,17 @@ def unit_weight(shipment_packages: DataFrame, shipments: DataFrame, shipment_dtl
     shipped quantity (the same for each of its packages),
       sum over pairs of w * (q / Q) = (W / Q) * sum(q)  and
       sum over pairs of q           = n * sum(q),
-    so the lines are joined and aggregated once per (shipment, item), and a
-    shipment's total is added up from those rows: time linear in packages +
-    lines, however many packages a hot shipment has. (Package and shipment
+    so the lines are joined and aggregated once per (shipment, item), written,
+    and a shipment's total is added up from those rows: time linear in packages
+    + lines, however many packages a hot shipment has. (Package and shipment
     ids are keys.)"""
     pk = (shipment_packages.join(shipments.select(F.col("id").alias("shipments_id")), "shipments_id")
           .groupBy("shipments_id").agg(F.sum("actual_weight").alias("__w"), F.count(F.lit(1)).alias("__n")))
     od = ord_detail.select(F.col("id").alias("order_dtl_id"), "arinvt_id", F.col("cumm_shipped").alias("__q"))
     lines = shipment_dtl.select("shipments_id", "order_dtl_id", F.col("cumm_shipped").alias("__sq")).join(
         od, "order_dtl_id")
-    per_item = lines.groupBy("shipments_id", "arinvt_id").agg(F.sum("__q").alias("__qi"), F.sum("__sq").alias("__sqi"))
+    per_item = staged(lines.groupBy("shipments_id", "arinvt_id").agg(F.sum("__q").alias("__qi"), F.sum("__sq").alias("__sqi")),
+                      "shipped-items")
     shipped = per_item.groupBy("shipments_id").agg(F.sum("__sqi").alias("__Q"))
     parts = per_item.join(pk, "shipments_id").join(shipped, "shipments_id").select(
         "arinvt_id",

@@ -6,8 +6,8 @@ All are plain DataFrame compositions. Notes on how they scale:
   * ``first_per_key`` is ``row_number() = 1``; Spark plans it with a partial
     ``WindowGroupLimit`` before the exchange, so at most one row per key and
     map partition is shuffled, however skewed the key.
-  * ``priority_pick`` does the same job with an aggregate of a struct, which
-    needs no sort at all.
+  * ``rank_within`` numbers all rows of a key over a range sort and prefix
+    sums, so a hot key is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabsmith.sources.files import staged
+
 
 def distinct_union(frames: list[DataFrame]) -> DataFrame:
     """SQL ``UNION``: rows from all inputs, duplicates removed (by name)."""
@@ -36,20 +38,24 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column], rn: str |
 
 
 def rank_within(df: DataFrame, keys: list[str], order: list[Column], name: str = "rn") -> DataFrame:
-    """``row_number()`` over each key, all rows kept."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-
-
-def priority_pick(df: DataFrame, keys: list[str], rank: list[Column], values: list[str]) -> DataFrame:
-    """Per key, the ``values`` of the row with the smallest ``rank`` tuple.
-
-    ``min(struct(rank..., values...))`` is an ordinary aggregate: it combines
-    map-side, so a key holding a third of all rows costs one partial row per
-    map task instead of one task holding the whole group.
-    """
-    packed = F.struct(*[r.alias(f"__r{i}") for i, r in enumerate(rank)], *[F.col(v) for v in values])
-    return df.groupBy(*keys).agg(F.min(packed).alias("__best")).select(
-        *keys, *[F.col(f"__best.{v}").alias(v) for v in values])
+    """``row_number()`` over each key, all rows kept (give a total order).
+
+    No task holds a key: the rows are dealt to ranges of (keys, order), so a
+    hot key fills many ranges in a row, and are written once with their place
+    in their range. A row's rank is its place plus the rows of its key in
+    earlier ranges, a prefix sum over one count per (range, key)."""
+    columns = [F.col(k) for k in keys]
+    ordered = df.repartitionByRange(*columns, *order).sortWithinPartitions(*columns, *order)
+    written = staged(ordered.withColumn("__row", F.monotonically_increasing_id()), "ranked")
+    part = F.shiftright("__row", 33)
+    counts = written.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], part.alias("__part")).agg(
+        F.min("__row").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    earlier = (Window.partitionBy(*[f"__k{i}" for i in range(len(keys))]).orderBy("__part")
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow - 1))
+    shifts = counts.withColumn("__shift", F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first") + 1)
+    same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    return written.join(shifts, [*same, part == F.col("__part")]).select(
+        *df.columns, (F.col("__row") + F.col("__shift")).cast("int").alias(name))
 
 
 def with_group_total(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:

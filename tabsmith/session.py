@@ -87,7 +87,24 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/stages/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path) in the JVM, for any store that Spark reads."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def remove_stage(spark: SparkSession, path: str) -> None:
     """Delete one written stage once nothing reads it any more."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    store, target = _file_system(spark, path)
+    store.delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    store, target = _file_system(spark, path)
+    return store.exists(target)
+
+
+def create_mark(spark: SparkSession, path: str) -> None:
+    """An empty file; its parents are made as needed."""
+    store, target = _file_system(spark, path)
+    store.create(target, True).close()

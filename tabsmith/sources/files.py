@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tabsmith.session import stage_path
@@ -24,7 +28,7 @@ def read_text_csv(spark: SparkSession, path: str, columns: list[str] | None = No
     no field holds a line break, there is one pass, and every file must have
     the same header."""
     if multi_line:
-        return csv_ranges.read(spark, path, CSV_OPTIONS, columns, staged=lambda df: read_stage(spark, write_stage(df, "csv-ranges")))
+        return csv_ranges.read(spark, path, CSV_OPTIONS, columns, staged=lambda df: staged(df, "csv-ranges"))
     reader = spark.read.options(**CSV_OPTIONS).option("mode", "FAILFAST").option("enforceSchema", False)
     if columns is not None:
         reader = reader.schema(", ".join(f"`{c}` string" for c in columns))
@@ -38,14 +42,36 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
+#: Paths of the stages written in this thread of work, where someone collects them.
+_owner: ContextVar[list | None] = ContextVar("stage owner", default=None)
+
+
+@contextmanager
+def collected_stages() -> Iterator[list[str]]:
+    """Collects the paths of the stages written inside the block, for their owner to remove."""
+    paths: list[str] = []
+    token = _owner.set(paths)
+    try:
+        yield paths
+    finally:
+        _owner.reset(token)
+
+
 def write_stage(df: DataFrame, name: str) -> str:
     """Write a stage as parquet below the cluster's shared folder and return
     its path; reading it back cuts the lineage (an executor lost later
     re-reads the files instead of recomputing the upstream plan)."""
     path = stage_path(df.sparkSession, name)
+    if (paths := _owner.get()) is not None:
+        paths.append(path)
     df.write.mode("overwrite").parquet(path)
     return path
 
 
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a stage and read it back; no pass over the files for the schema."""
+    return df.sparkSession.read.schema(df.schema).parquet(write_stage(df, name))

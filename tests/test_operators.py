@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
 from tabsmith.operators import boms as B
 from tabsmith.operators import customers as C
 from tabsmith.operators import items as I
-from tabsmith.operators.relational import distinct_union, priority_pick
+from tabsmith.operators.relational import distinct_union, rank_within
+from tabsmith.sources.files import collected_stages
 
 
 def test_latest_unit_null_dates(spark):
@@ -45,6 +47,29 @@ def test_one_default_per_customer(spark):
     assert tops == [(1, 7), (2, 5)]  # tie on 3 uses -> smaller address id
 
 
+def test_ranks_of_a_hot_key_come_from_many_tasks(spark):
+    """Half of the rows and all nulls share a key; ranks equal those of one window, no task sorts a whole key."""
+    data = [(1 if i % 2 else (None if i % 6 == 0 else i % 40), (i * 7919) % 1000, i) for i in range(3000)]
+    df = spark.createDataFrame(data, "k long, v long, id long")
+    order = [F.desc("v"), F.asc("id")]
+    got = {(r["id"], r["rn"]) for r in rank_within(df, ["k"], order).collect()}
+    window = Window.partitionBy("k").orderBy(*order)
+    assert got == {(r["id"], r["rn"]) for r in df.withColumn("rn", F.row_number().over(window)).collect()}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # ranges as a large input has them
+    try:
+        with collected_stages() as paths:
+            ranked = rank_within(df, ["k"], order).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {(r["id"], r["rn"]) for r in ranked} == got
+    per_task = spark.read.parquet(paths[0]).where("k = 1").groupBy(F.shiftright("__row", 33)).count().collect()
+    assert len(per_task) >= 3 and max(r["count"] for r in per_task) < 1000
+
+
+def test_ranks_without_rows(spark):
+    assert rank_within(spark.createDataFrame([], "k long, v long"), ["k"], [F.asc("v")]).collect() == []
+
+
 def test_industry_gate_and_pick(spark):
     u = spark.createDataFrame([(1,), (2,), (3,)], "arcusto_id long")
     opp = spark.createDataFrame([(10, "ARCUSTO", 1), (11, "ARCUSTO", 1), (12, "ARCUSTO", 1), (20, "ARCUSTO", 2),
@@ -127,10 +152,7 @@ def test_candidate_boms_marks_and_defaults(spark):
     assert got == [(11, "Default", dt.datetime(2020, 1, 1))]
 
 
-def test_priority_pick_and_union(spark):
-    df = spark.createDataFrame([(1, None), (1, "b"), (1, "a"), (2, None)], "k int, v string")
-    rank = [F.when(F.col("v").isNotNull(), 1).otherwise(2), F.col("v")]
-    assert sorted(rows(priority_pick(df, ["k"], rank, ["v"]))) == [(1, "a"), (2, None)]
+def test_union(spark):
     a = spark.createDataFrame([(1,), (2,)], "x int")
     b = spark.createDataFrame([(2,), (3,)], "x int")
     assert sorted(rows(distinct_union([a, b]))) == [(1,), (2,), (3,)]
