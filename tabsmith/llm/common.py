@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabsmith.session import stage_path
+from tabsmith.sources.files import staged as staged  # written below the shared folder and read back
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -16,6 +18,7 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
 TEXTS_PER_BATCH = 512
+COUNTED_GROUPS = 1000
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -40,15 +43,36 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     return table.select(*columns) if columns else table
 
 
-def staged(frame: DataFrame, name: str) -> DataFrame:
-    """Write ``frame`` below the shared folder and read it back.
+def sampled(rows: DataFrame, key: Column, most: int, group: str | None = None) -> DataFrame:
+    """At most ``most`` of ``rows``, those of the least hashes of ``key``, dealt evenly over the values of ``group``.
 
-    Cuts lineage with files that every executor sees, so a lost executor costs
-    a re-read and not a recomputation.
+    A bottom-k sketch by threshold: from the rows counted per group follows a
+    hash below which a few more than ``most`` of the group lie, and only these
+    are shuffled and ordered, however many rows a group has. (Only the largest
+    ``COUNTED_GROUPS`` groups get a threshold; it spares work and decides nothing.)
     """
-    path = stage_path(frame.sparkSession, name)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    hashed = rows.withColumn("_key", F.xxhash64(key))
+    by = F.col(group) if group else F.lit("")
+    counts = rows.groupBy(by.alias("g")).agg(F.count("*").alias("n")).where(F.col("n") > most)
+    shares = {r["g"]: (most + 6 * most ** 0.5 + 10) / r["n"] for r in counts.orderBy(F.desc("n")).limit(COUNTED_GROUPS).collect()}
+    if shares:
+        share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[by]
+        hashed = hashed.where(F.shiftrightunsigned("_key", 11) / float(1 << 53) < F.coalesce(share, F.lit(1.0)))
+    if group:
+        turn = F.row_number().over(Window.partitionBy(group).orderBy("_key", *rows.columns))
+        hashed = hashed.withColumn("_turn", turn).where(F.col("_turn") <= most)
+        return hashed.orderBy("_turn", "_key", *rows.columns).limit(most).drop("_turn", "_key")
+    return hashed.orderBy("_key", *rows.columns).limit(most).drop("_key")
+
+
+def fitted_in_task(rows: DataFrame, fit) -> bytes:
+    """``fit`` of all ``rows`` (bounded, in order) as one pandas frame, run in one executor task; returns its bytes."""
+
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = list(batches)
+        yield pd.DataFrame({"model": [fit(pd.concat(parts, ignore_index=True) if parts else None)]})
+
+    return bytes(rows.mapInPandas(learn, "model binary").first()["model"])
 
 
 def word_count(text: Column) -> Column:

@@ -14,9 +14,11 @@ The score tells the learned languages apart and says nothing of others, so a
 stage that keeps identified documents also asks how many of a text's letter
 trigrams training knows (:func:`known_share`): noise, code and unlearned
 languages and scripts hold few. The least share is calibrated per language on
-labelled rows outside the sample, with room for chance in short texts.
+labelled rows outside the sample, with room for chance in short texts. The
+sample's texts are written once; the machines are fitted on them in one
+executor task.
 
-Cases: a text that is null or has no letter is ``und`` with score 0; so is
+Cases: a text that is null or has no letter (Unicode L*: no number signs) is ``und`` with score 0; so is
 every text where there is nothing to learn from. Rows without an id or a label
 teach nothing. Repeated rows are predicted alike and teach once. Very long
 texts are counted in full, in slices. Columns other than those named are passed on untouched
@@ -25,14 +27,17 @@ by :func:`with_language`.
 
 from __future__ import annotations
 
+import pickle
 import re
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabsmith.llm.common import fitted_in_task, sampled, staged
+
 BITS = 12             # hashed n-gram cells: 2 ** BITS
 LONGEST_GRAM = 3
 SAMPLE_ROWS = 3000    # labelled rows that the classifier is fitted on, at most
@@ -42,14 +47,13 @@ SHARPNESS = 4.0       # of the logistic curve from a margin to a probability
 SLICE_CHARS = 200_000
 MIN_SCORE = 0.3       # below it a stage that keeps identified documents rejects
 CALIBRATION_ROWS = 1500   # labelled rows outside the sample that set the least share of known trigrams, at most
-KNOWN_GRAMS = 100_000     # trigrams that are known, at most: those in most sample texts
 KNOWN_IN = 0.001          # a known trigram is in this share of the sample's texts
 CLEAN_QUANTILE = 0.01     # of the calibration rows' shares of a language ...
 CLEAN_SLACK = 0.85        # ... times this is the least share
 CHANCE = 2.0              # standard errors below it that a short text may fall
 UNDETERMINED = "und"
 
-LETTER = re.compile(r"[^\W\d_]")
+WORD_SIGN = re.compile(r"\w")   # letters, and signs that only look like numbers or letters
 _PLAIN = np.array([c if chr(c).isalpha() else 0x20 for c in range(128)], dtype=np.uint32)
 
 
@@ -102,7 +106,8 @@ def known_share(text: str, known: np.ndarray) -> tuple[float, int]:
 
 
 def has_letter(text: str | None) -> bool:
-    return text is not None and LETTER.search(text) is not None
+    """Whether some code point is a letter (Unicode categories L*)."""
+    return text is not None and any(m.group().isalpha() for m in WORD_SIGN.finditer(text))
 
 
 def svm(x: np.ndarray, rows: np.ndarray, positive: np.ndarray) -> np.ndarray:
@@ -192,51 +197,54 @@ def fit_sample(x: np.ndarray, languages: list[str]) -> LanguageModel:
 
 
 def sample(docs: DataFrame, teaches: Column, most: int) -> DataFrame:
-    """(doc_id, lang, text) of at most ``most`` labelled rows for which ``teaches`` holds, dealt over the languages."""
+    """(doc_id, lang, text) of at most ``most`` labelled rows for which ``teaches`` holds, dealt over the languages.
+
+    Ids are chosen first, then their texts are read and written once, as several steps read them.
+    """
     labelled = docs.where(teaches & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    key = F.xxhash64(F.col("doc_id").cast("string"))
-    turn = F.row_number().over(Window.partitionBy("lang").orderBy("_key", "doc_id"))
-    ids = (labelled.select("doc_id", "lang", key.alias("_key")).withColumn("_turn", turn)
-           .where(F.col("_turn") <= most).orderBy("_turn", "_key", "doc_id").limit(most).select("doc_id", "lang"))
-    return labelled.select("doc_id", "lang", "text").join(F.broadcast(ids.distinct()), ["doc_id", "lang"])  # ``most`` rows at most
+    ids = sampled(labelled.select("doc_id", "lang"), F.col("doc_id").cast("string"), most, "lang").distinct()
+    chosen = labelled.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"])  # ``most`` rows at most
+    return staged(chosen, "language-sample")
 
 
-def fit(docs: DataFrame, teaches: Column) -> LanguageModel:
-    """Fit on a bounded sample of the rows for which ``teaches`` holds."""
-    chosen = sample(docs, teaches, SAMPLE_ROWS)
+def fit(chosen: DataFrame) -> LanguageModel:
+    """Fit on a bounded sample (doc_id, lang, text), in one executor task."""
 
     @F.pandas_udf("binary")
     def vector(texts: pd.Series) -> pd.Series:
         return pd.Series([features(t).astype(np.float16).tobytes() if has_letter(t) else None for t in texts], dtype=object)
 
+    def learn(rows: pd.DataFrame | None) -> bytes:
+        if rows is None:
+            return pickle.dumps(LanguageModel())
+        x = np.frombuffer(b"".join(rows["x"]), dtype=np.float16).reshape(len(rows), -1)
+        return pickle.dumps(fit_sample(x.astype(np.float32), rows["lang"].tolist()))
+
     rows = (chosen.select("doc_id", "lang", vector("text").alias("x")).where("x is not null")
-            .groupBy("doc_id", "lang").agg(F.min("x").alias("x")).orderBy("lang", "doc_id").limit(SAMPLE_ROWS).collect())
-    x = np.frombuffer(b"".join(r["x"] for r in rows), dtype=np.float16).reshape(len(rows), -1 if rows else 1 << BITS)
-    return fit_sample(x.astype(np.float32), [r["lang"] for r in rows])
+            .groupBy("doc_id", "lang").agg(F.min("x").alias("x")).orderBy("lang", "doc_id").limit(SAMPLE_ROWS))
+    return pickle.loads(fitted_in_task(rows.select("lang", "x"), learn))
 
 
-def known_grams(docs: DataFrame, teaches: Column) -> np.ndarray:
-    """Sorted trigrams that enough texts of the sample hold, KNOWN_GRAMS at most."""
+def known_grams(chosen: DataFrame) -> np.ndarray:
+    """Sorted trigrams that enough texts of the sample hold; the sample bounds their number."""
 
     @F.pandas_udf("array<long>")
     def distinct(texts: pd.Series) -> pd.Series:
         return pd.Series([np.unique(trigrams(t)) for t in texts], dtype=object)
 
-    texts = sample(docs, teaches, SAMPLE_ROWS).select(distinct("text").alias("grams"))
-    counts = texts.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    size = sample(docs, teaches, SAMPLE_ROWS).select("doc_id").count()
-    enough = counts.where(F.col("n") >= max(1, int(np.ceil(KNOWN_IN * size))))
-    return np.sort(enough.orderBy(F.desc("n"), "gram").limit(KNOWN_GRAMS).select("gram").toPandas()["gram"].to_numpy(dtype=np.int64))
+    counts = chosen.select(F.explode(distinct("text")).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    enough = counts.where(F.col("n") >= max(1, int(np.ceil(KNOWN_IN * chosen.count()))))
+    return np.sort(enough.select("gram").toPandas()["gram"].to_numpy(dtype=np.int64))
 
 
-def least_shares(docs: DataFrame, calibrates: Column, known: np.ndarray) -> dict[str | None, float]:
+def least_shares(calibration: DataFrame, known: np.ndarray) -> dict[str | None, float]:
     """Least share of known trigrams by language; under None that of a language without calibration rows."""
 
     @F.pandas_udf("double")
     def share(texts: pd.Series) -> pd.Series:
         return pd.Series([known_share(t, known)[0] if has_letter(t) else None for t in texts], dtype=float)
 
-    rows = sample(docs, calibrates, CALIBRATION_ROWS).select("lang", share("text").alias("share")).where("share is not null")
+    rows = calibration.select("lang", share("text").alias("share")).where("share is not null")
     shares: dict[str | None, list[float]] = {None: []}
     for r in rows.limit(CALIBRATION_ROWS).collect():
         shares.setdefault(r["lang"], []).append(r["share"])
@@ -267,17 +275,17 @@ def with_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
 def identify(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score."""
     rows = docs.select("doc_id", "text", "lang")
-    model = fit(rows, ~held_out())
+    model = fit(sample(rows, ~held_out(), SAMPLE_ROWS))
     out = with_language(rows.select("doc_id", "text"), model)
     return out.select("doc_id", held_out().alias("held_out"), "_language.lang_pred", "_language.score")
 
 
 def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs`` in a learned language, identified with at least ``min_score``; same columns."""
-    teaches = ~held_out()
-    named = with_language(docs, fit(docs, teaches))
-    known = known_grams(docs, teaches)
-    shared = docs.sparkSession.sparkContext.broadcast((known, least_shares(docs, held_out(), known)))
+    chosen = sample(docs, ~held_out(), SAMPLE_ROWS)
+    named = with_language(docs, fit(chosen))
+    known = known_grams(chosen)
+    shared = docs.sparkSession.sparkContext.broadcast((known, least_shares(sample(docs, held_out(), CALIBRATION_ROWS), known)))
 
     @F.pandas_udf("boolean")
     def learned(texts: pd.Series, langs: pd.Series) -> pd.Series:

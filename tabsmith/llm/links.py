@@ -35,6 +35,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabsmith.llm.common import staged
+from tabsmith.session import remove_stage
+from tabsmith.sources.files import collected_stages
 
 CENTRES = 4            # densest members that everyone in a bucket is paired with
 SMALL_BUCKET = 8       # up to this size all pairs are formed
@@ -43,6 +45,7 @@ AGREEMENT_SLACK = 0.1  # of equal registers below the least estimate, for the es
 OPEN_BLOCK = 512       # documents outside the main component, in one task
 ALL_BLOCK = 2048       # documents they are compared with, in one task
 WORD_CACHE = 200_000   # word hashes kept by a worker process
+BROADCAST_IDS = 1_000_000  # ids of documents whose sets are wanted are broadcast up to this number (some 30 MB), else joined
 
 
 class Sketch(Protocol):
@@ -116,8 +119,8 @@ def universal_minima(values: np.ndarray, count: int, seed: int) -> np.ndarray:
     return least
 
 
-def _sketched(docs: DataFrame, rule: NearRule) -> DataFrame:
-    """(doc_id, n, node, registers): ``node`` names the shingle set, null for an empty one."""
+def sketched_rows(docs: DataFrame, rule: NearRule, *also: str) -> DataFrame:
+    """(doc_id, n, node, registers) and the columns ``also``: ``node`` names the shingle set, null for an empty one."""
     sketch, words = rule.sketch, rule.words
 
     @F.pandas_udf("n long, node binary, registers binary")
@@ -131,7 +134,7 @@ def _sketched(docs: DataFrame, rule: NearRule) -> DataFrame:
                 out.append((0, None, None))
         return pd.DataFrame(out, columns=["n", "node", "registers"])
 
-    return docs.select("doc_id", summary("text").alias("s")).select("doc_id", "s.*")
+    return docs.select("doc_id", *also, summary("text").alias("s")).select("doc_id", *also, "s.*")
 
 
 def _estimated(pairs: DataFrame, rule: NearRule) -> DataFrame:
@@ -202,7 +205,7 @@ def _lead(leader: dict, root: bytes) -> bytes:
 def near_links(docs: DataFrame, rule: NearRule) -> tuple[DataFrame, DataFrame]:
     """(sketches per document, links between classes): (doc_id, n, node, registers) and (a, b)."""
     sketch = rule.sketch
-    sketched = staged(_sketched(docs, rule), "near-sketches")
+    sketched = staged(sketched_rows(docs, rule), "near-sketches")
     classes = staged(sketched.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
                                                                 F.first("registers").alias("registers")), "near-classes")
     width = sketch.rows * np.dtype(sketch.dtype).itemsize
@@ -218,7 +221,8 @@ def near_links(docs: DataFrame, rule: NearRule) -> tuple[DataFrame, DataFrame]:
              .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
     side = lambda x: classes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("registers").alias(f"r_{x}"))
     pairs = staged(_estimated(pairs.join(side("a"), "a").join(side("b"), "b"), rule), "near-pairs")
-    sets = staged(_full_sets(docs, classes.join(members.select("node").distinct(), "node", "left_semi"), rule), "near-sets")
+    compared = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(members.where(F.col("size") > SMALL_BUCKET).select("node"))
+    sets = staged(_full_sets(docs, classes.join(compared.distinct(), "node", "left_semi"), rule), "near-sets")
     links = staged(_verified(pairs, sets, rule.percent), "near-links")
     rest = staged(_rest_links(members, classes, sets, components(links), rule), "near-rest")
     return sketched, links.unionByName(rest)
@@ -233,19 +237,22 @@ def _full_sets(docs: DataFrame, classes: DataFrame, rule: NearRule) -> DataFrame
         found = [shingles(t, words) for t in texts]
         return pd.DataFrame({"node": [xxhash.xxh3_128_digest(s.tobytes()) for s in found], "set": [s.view(np.int64) for s in found]})
 
-    wanted = classes.select(F.col("doc_id").alias("_id"), F.col("node").alias("_node"))
-    texts = docs.select("doc_id", "text").join(wanted.select("_id").distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    found = texts.select(full("text").alias("f")).select("f.*")
-    # an inner join: a semi join would be pushed below the sets, which would then be built for all documents
-    found = found.join(wanted.select(F.col("_node").alias("node")), "node")
+    # Filters on a function that counts as deterministic would be pushed below the join, and it would run on all documents.
+    full = full.asNondeterministic()
+    wanted = staged(classes.select(F.col("doc_id").alias("_id"), F.col("node").alias("_node")), "near-wanted")
+    ids = wanted.select("_id").distinct()
+    if wanted.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    found = texts.select(full("text").alias("f")).select("f.*").join(wanted.select(F.col("_node").alias("node")), "node")
     return found.groupBy("node").agg(F.first("set").alias("set"))
 
 
 def _rest_links(members: DataFrame, classes: DataFrame, sets: DataFrame, found: DataFrame, rule: NearRule) -> DataFrame:
-    """Links between the components that still share a bucket."""
+    """Links between the components that still share a bucket in which not all pairs were formed."""
     nodes = members.select("node").distinct().join(found, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
     nodes = staged(nodes, "near-roots")
-    rooted = members.select("key", "node").join(nodes, "node")
+    rooted = members.where(F.col("size") > SMALL_BUCKET).select("key", "node").join(nodes, "node")
     counts = rooted.groupBy("key", "root").agg(F.count("*").alias("n"))
     home = counts.groupBy("key").agg(F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
     open_rows = (rooted.join(home.select("key", F.col("main.root").alias("home")), "key").where("root <> home")
@@ -300,12 +307,21 @@ def _state(edges: DataFrame) -> tuple:
     return row[0], row[1]
 
 
+def rooted_rows(docs: DataFrame, rule: NearRule) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, node (null for an empty set) and root, written; what led to them is removed."""
+    with collected_stages() as paths:
+        sketched, links = near_links(docs, rule)
+        roots = components(links)
+        rows = sketched.join(roots, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), "node", F.coalesce("root", "node").alias("root"))
+        rows = staged(rows, "near-rooted")
+    for path in paths[:-1]:
+        remove_stage(docs.sparkSession, path)
+    return rows
+
+
 def grouped(docs: DataFrame, rule: NearRule) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (least doc_id reachable) and kept."""
-    sketched, links = near_links(docs, rule)
-    roots = components(links)
-    rooted = sketched.join(roots, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), "node", F.coalesce("root", "node").alias("root"))
-    rooted = staged(rooted, "near-rooted")
+    rooted = rooted_rows(docs, rule)
     least = rooted.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("least"))
     out = rooted.join(least, "root", "left")
     component = F.coalesce("least", "doc_id")

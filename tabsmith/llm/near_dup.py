@@ -21,10 +21,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabsmith.llm.links import NearRule, grouped, universal_minima
+from tabsmith.llm.common import staged
+from tabsmith.llm.links import NearRule, grouped, rooted_rows, sketched_rows, universal_minima
 
 
 @dataclass(frozen=True)
@@ -76,15 +77,29 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
 
 
 def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each near-duplicate group, same columns as ``docs``."""
-    groups = near_groups(docs, words, percent)
-    dropped = groups.where(~F.col("kept")).select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti")
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select("doc_id")
-    if repeated.isEmpty():  # ids are unique: nothing more to decide, and no second pass over the texts
-        return kept
-    # rows that share their id with the kept one: the first by text stays
-    one = Window.partitionBy("doc_id").orderBy("text")
-    single = kept.join(repeated, "doc_id", "left_anti")
-    first = kept.join(repeated, "doc_id", "left_semi").withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n")
-    return single.unionByName(first)
+    """One row of each near-duplicate group, same columns as ``docs``: the least by (doc_id, nulls last; text).
+
+    Rows without words are in no group and all stay. Every row is judged by its
+    own text, also where rows share their id or have none. Rows with an id of
+    their own, as a rule all, are decided by ids alone, without a second
+    pass over the texts in Python or a shuffle of them.
+    """
+    rule = NearRule(SetSketch(), words, percent)
+    rooted = rooted_rows(docs.select("doc_id", "text"), rule)
+    least = rooted.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("least"))
+    counts = rooted.groupBy("doc_id").agg(F.count("*").alias("rows"))
+    shared = staged(counts.where("doc_id is null or rows > 1").select("doc_id"), "near-shared-ids")
+    dropped = staged(rooted.join(least, "root").where("doc_id <> least").select("doc_id").distinct(), "near-dropped")
+    if shared.isEmpty():
+        return docs.join(dropped, "doc_id", "left_anti")
+    same_id = docs["doc_id"].eqNullSafe(shared["doc_id"])
+    own_id = docs.join(shared, same_id, "left_anti").join(dropped, "doc_id", "left_anti")
+    # The others are sketched again, for the component of each row's own text.
+    row = F.struct(*docs.columns).alias("row")
+    odd = docs.join(shared, same_id, "left_semi").select(F.col("doc_id"), "text", row)
+    roots = rooted.where(F.col("node").isNotNull()).select("node", "root").distinct()
+    judged = sketched_rows(odd, rule, "row").join(roots, "node", "left").join(least, "root", "left")
+    wordless = judged.where("root is null").select("row.*")
+    first = F.min_by("row", F.struct("row.text", F.xxhash64(F.to_json("row"))))
+    chosen = judged.where("root is not null").where(F.col("doc_id").eqNullSafe(F.col("least"))).groupBy("root").agg(first.alias("row"))
+    return own_id.unionByName(wordless).unionByName(chosen.select("row.*"))

@@ -13,7 +13,7 @@ Training. Labelled spans are written into short passages of the corpus by rule,
 in the spellings above, beside things that look alike and are none (hex tokens,
 dates, versions, order numbers); base spans in
 the passages are labelled as well. At most ``SAMPLE_PASSAGES`` passages are
-taken, by the least hashes of whole texts, and fitted in one executor task; only the
+taken, by the least hashes of id and text, and fitted in one executor task; only the
 weights, some 30 kB, pass through the driver.
 
 Decoding. Each kind of span holds a digit or an at sign, spelled or not, so a
@@ -45,6 +45,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabsmith.llm.common import fitted_in_task, sampled
 from tabsmith.llm.tagger import Tagger, classes_of, new_tagger, train
 
 KINDS = ("email", "ip", "card", "phone")
@@ -261,14 +262,10 @@ def fit(docs: DataFrame) -> bytes:
     # A passage lies around the first digit or at sign of a text, in other texts at a place chosen by the hash.
     first = F.coalesce(F.regexp_instr(text, F.lit("[0-9@]")), F.lit(0))
     place = F.when(first > 0, first - PASSAGE_CHARS // 3).otherwise(F.pmod(F.col("hash"), F.length(text)))
-    passages = (docs.select(text, F.xxhash64(text).alias("hash")).where(F.length(text) > 0)
-                .select("hash", F.substring(text, F.greatest(place, F.lit(1)).cast("int"), F.lit(PASSAGE_CHARS)).alias("passage"))
-                .orderBy("hash", "passage").limit(SAMPLE_PASSAGES).coalesce(1))
-
-    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield pd.DataFrame({"model": [packed(fitted([p for rows in batches for p in rows["passage"]]))]})
-
-    return bytes(passages.select("passage").mapInPandas(learn, "model binary").first()["model"])
+    passages = (docs.where(F.length(text) > 0).select("doc_id", text, F.xxhash64("doc_id", text).alias("hash"))
+                .select("hash", F.substring(text, F.greatest(place, F.lit(1)).cast("int"), F.lit(PASSAGE_CHARS)).alias("passage")))
+    return fitted_in_task(sampled(passages, F.col("hash"), SAMPLE_PASSAGES).select("passage"),
+                          lambda rows: packed(fitted([] if rows is None else rows["passage"].tolist())))
 
 
 # --- decoding -----------------------------------------------------------------

@@ -9,7 +9,8 @@ grade and tail probability ``P(grade >= g)`` select documents.
 Fitted on a bounded sample of rated rows (at most ``SAMPLE_ROWS``, dealt evenly
 over the grades in hash order, near copies of a sampled text left out); features
 are kept that occur in ``MIN_DOCUMENTS`` of the sample and unevenly over the
-grades. Every document is scored from its whole text.
+grades. The fit runs in one executor task. Every document is scored from its
+whole text.
 
 Cases: a null text is empty and scored as such; with one grade to learn from
 every document gets that grade, and with none grade 0 and tail probability 1,
@@ -20,14 +21,17 @@ null ratings teach nothing. Other columns are passed on untouched.
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabsmith.llm.common import fitted_in_task, sampled
+
 BITS = 20             # hashed word cells: 2 ** BITS
 SHAPE_BINS = 12       # bins of each shape measure
 SAMPLE_ROWS = 6000    # rated rows that the classifier is fitted on, at most
@@ -200,27 +204,28 @@ def fit(docs: DataFrame, ratings: DataFrame, teaches: Column | None = None) -> O
     rated = rated.groupBy("doc_id").agg(F.min("rating").cast("long").alias("rating"))
     if teaches is not None:
         rated = rated.where(teaches)
-    key = F.xxhash64(F.col("doc_id").cast("string"))
-    turn = F.row_number().over(Window.partitionBy("rating").orderBy("_key", "doc_id"))
-    ids = (rated.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").withColumn("_key", key).withColumn("_turn", turn)
-           .where(F.col("_turn") <= SAMPLE_ROWS).orderBy("_turn", "_key", "doc_id").limit(SAMPLE_ROWS).select("doc_id", "rating"))
+    ids = sampled(rated.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "rating"),
+                  F.col("doc_id").cast("string"), SAMPLE_ROWS, "rating")
     chosen = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # SAMPLE_ROWS rows at most
 
     @F.pandas_udf("x binary, near_a long, near_b long")
     def cells_of(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([(features(t).tobytes(), *near_keys(t)) for t in texts], columns=["x", "near_a", "near_b"])
 
+    def learn(rows: pd.DataFrame | None) -> bytes:
+        seen: set = set()
+        cells, grades = [], []
+        for x, a, b, rating in zip(*(rows[c] for c in ("x", "near_a", "near_b", "rating")), strict=True) if rows is not None else ():
+            keys = {("a", a), ("b", b)}
+            if not keys & seen:  # a text that is copied many times is one piece of evidence
+                cells.append(np.frombuffer(x, dtype=np.int32))
+                grades.append(rating)
+            seen |= keys
+        return pickle.dumps(fit_sample(cells, grades))
+
     rows = (chosen.select("doc_id", "rating", cells_of("text").alias("f"))
-            .groupBy("doc_id", "rating").agg(F.min("f").alias("f")).orderBy("doc_id").limit(SAMPLE_ROWS).collect())
-    seen: set = set()
-    cells, grades = [], []
-    for r in rows:  # a text that is copied many times is one piece of evidence
-        keys = {("a", r["f"]["near_a"]), ("b", r["f"]["near_b"])}
-        if not keys & seen:
-            cells.append(np.frombuffer(r["f"]["x"], dtype=np.int32))
-            grades.append(r["rating"])
-        seen |= keys
-    return fit_sample(cells, grades)
+            .groupBy("doc_id", "rating").agg(F.min("f").alias("f")).orderBy("doc_id").limit(SAMPLE_ROWS))
+    return pickle.loads(fitted_in_task(rows.select("rating", "f.*"), learn))
 
 
 def near_keys(text: str | None) -> tuple[int, int]:

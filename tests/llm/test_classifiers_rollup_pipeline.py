@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tabsmith.llm import language_id, quality, token_rollup, tokens
-from tabsmith.llm.common import staged
+from tabsmith.llm.common import sampled, staged
 from tabsmith.llm.queries import LLM_ORACLE, LLM_QUERIES, graded_labels, tokenizer_path
 
 from .conftest import CLASHING, DOCS, SF, docs_of
@@ -44,6 +45,23 @@ def test_languages_of_odd_texts(spark):
     assert {r["lang_pred"] for r in unlabelled} == {"und"}
 
 
+def test_signs_that_are_no_letters_are_undetermined(spark):
+    texts = ["the cat and the dog", "le chat et le chien"] * 20 + ["½ ²", "Ⅷ ①", "３ ٣", "__", "½ a"]
+    rows = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(docs_of(spark, texts)).collect()}
+    assert [rows[i] for i in range(40, 45)] == ["und"] * 4 + [rows[44]] and rows[44] in ("en", "fr")
+
+
+def test_sample_is_dealt_over_groups_and_stays_the_same(spark):
+    """A group with nine tenths of the rows gets no more than the others, and the partitioning changes nothing."""
+    rows = [(i, "big" if i % 10 else ("small" if i % 20 else "tiny"), f"t{i}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    got = [sorted(tuple(r) for r in sampled(df.repartition(n), F.col("doc_id").cast("string"), 300, "lang").collect()) for n in (1, 13)]
+    assert got[0] == got[1] and len(got[0]) == 300
+    assert Counter(lang for _, lang, _ in got[0]) == {"big": 100, "small": 100, "tiny": 100}
+    assert sampled(df, F.col("doc_id"), 10_000, "lang").count() == 6000 and sampled(df, F.col("doc_id"), 50).count() == 50
+    assert sampled(df.limit(0), F.col("doc_id"), 50, "lang").count() == 0
+
+
 def test_noise_and_unlearned_scripts_are_rejected(spark):
     import random
 

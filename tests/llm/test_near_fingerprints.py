@@ -10,7 +10,7 @@ import pytest
 from tabsmith.llm import fingerprints, links, near_dup
 from tabsmith.llm.queries import LLM_QUERIES
 
-from .conftest import CLASHING, SF, SF_SMALL, docs_of
+from .conftest import CLASHING, DOCS, SF, SF_SMALL, docs_of
 
 
 def shingle_set(text, k):
@@ -99,6 +99,27 @@ def test_deduplicated_keeps_one_of_each(spark):
     assert out.columns == df.columns and sorted(r["doc_id"] for r in out.collect()) == [0, 2, 3, 4]
 
 
+def test_deduplicated_judges_rows_and_not_ids(spark):
+    """Rows that share an id, or have none, are kept and dropped by their own text; each group keeps one row."""
+    a, b, c = "alpha beta gamma delta epsilon zeta", "one two three four five six seven", "a text that only rows without an id have here"
+    rows = [(1, a), (1, b), (0, a), (None, a), (None, c), (None, c), (None, c + " "), (2, b), (2, b), (5, None), (5, None), (None, ""), (7, "alone")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    kept = sorted(((r["doc_id"], (r["text"] or "").strip()) for r in near_dup.deduplicated(docs).collect()), key=repr)
+    assert kept == sorted([(0, a), (1, b), (None, c), (5, ""), (5, ""), (None, ""), (7, "alone")], key=repr)
+    only = spark.createDataFrame([(None, a, "en", "s", 1)] * 5, DOCS)
+    assert near_dup.deduplicated(only).count() == 1
+    assert near_dup.deduplicated(only.limit(0)).count() == 0
+
+
+def test_full_sets_are_built_for_the_wanted_documents_alone(spark):
+    """No filter on the sets is pushed below the join that picks their documents."""
+    docs = docs_of(spark, copies(np.random.default_rng(2), 3, 4))
+    rule = links.NearRule(near_dup.SetSketch(), 5, 80)
+    classes = links.sketched_rows(docs, rule).where("doc_id < 2").select("node", "doc_id")
+    plan = links._full_sets(docs.repartition(2), classes, rule)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.index("ArrowEvalPython") < plan.index("LeftSemi")
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(bytes([0, i]), bytes([0, i + 1])) for i in range(60)] + [(b"\x01a", b"\x01b")], "a binary, b binary")
     got = {bytes(r["node"]): bytes(r["root"]) for r in links.components(edges).collect()}
