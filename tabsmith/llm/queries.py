@@ -71,11 +71,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = {"byte_bpe_50k": tokenizer_path("byte_bpe_50k.json")}
     toxic = labels.where("toxic = 1").select("doc_id").distinct()
     poor = labels.where("quality = 0").select("doc_id").distinct().join(toxic, "doc_id", "left_anti")
-    unsigned = docs.withColumn("text", F.regexp_replace("text", r"[|!#$%&*]+", ""))
-    # Counts are joined, not texts: ids are distinct, and an inner join, unlike a semi join, is not pushed below the counting.
-    revised = staged(token_rollup.counted(unsigned, versions, words="words").join(poor.hint("merge"), "doc_id"), "revised-counts")
+    unsigned = F.regexp_replace("text", r"[|!#$%&*]+", "")
+    # Both forms are counted in one pass; then counts are joined, not texts.
+    counts = staged(token_rollup.counted(docs, versions, words="words", changed=unsigned), "token-counts")
     rollup = token_rollup.TokenRollup(spark, stage_path(spark, "token-rollup"))
-    rollup.apply("1-load", token_rollup.counted(docs, versions, words="words"))
+    rollup.apply("1-load", counts)
+    revised = counts.join(poor, "doc_id").select("doc_id", "source", "lang", "version", F.col("changed_tokens").alias("tokens"))
     rollup.apply("2-toxic", deletes=toxic)
     rollup.apply("3-revised", revised)
     rollup.apply("2-toxic", deletes=toxic)  # a batch that comes twice counts once

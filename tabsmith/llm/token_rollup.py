@@ -38,28 +38,39 @@ ROLLUP = "source string, lang string, version string, docs long, tokens long"
 COMMIT = "batch string"
 
 
-def bpe_count(tokenizer: str, text: Column) -> Column:
-    """Number of ids of a text under a tokenizer file."""
+def bpe_counts(tokenizer: str, text: Column, changed: Column) -> Column:
+    """Numbers of ids of a text and of its changed form under a tokenizer file; an equal form is not encoded again."""
 
-    @F.pandas_udf("long")
-    def count(texts: pd.Series) -> pd.Series:
-        return pd.Series([len(tokens.encode(tokenizer, t)) for t in texts], dtype=np.int64)
+    @F.pandas_udf("array<long>")
+    def count(texts: pd.Series, forms: pd.Series) -> pd.Series:
+        out = []
+        for one, other in zip(texts, forms, strict=True):
+            n = len(tokens.encode(tokenizer, one))
+            out.append(np.array([n, n if other is None else len(tokens.encode(tokenizer, other))]))
+        return pd.Series(out, dtype=object)
 
-    return count(text)
+    return count(text, F.when(~changed.eqNullSafe(text), F.coalesce(changed, F.lit(""))))
 
 
-def counted(docs: DataFrame, tokenizers: Mapping[str, str], words: str | None = None) -> DataFrame:
-    """Rows (doc_id, source, lang, version, tokens), one per document and version.
+def counted(docs: DataFrame, tokenizers: Mapping[str, str], words: str | None = None, changed: Column | None = None) -> DataFrame:
+    """Rows (doc_id, source, lang, version, tokens, changed_tokens), one per document and version.
 
     ``tokenizers`` maps a version's name to its file; ``words`` names the
-    version that counts words, if any.
+    version that counts words, if any. ``changed`` is another form of the text
+    (the same by default), counted in the same pass: only where it differs is
+    there anything to do.
     """
-    counts = {version: bpe_count(path, F.col("text")) for version, path in tokenizers.items()}
+    text = F.col("text")
+    form = text if changed is None else changed
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", text, form.alias("_form"))
+    counts = {version: bpe_counts(path, text, F.col("_form")) for version, path in tokenizers.items()}
     if words:
-        counts[words] = word_count(F.col("text"))
+        rows = rows.withColumn("_words", word_count(text))
+        again = F.when(F.col("_form").eqNullSafe(text), F.col("_words")).otherwise(word_count(F.col("_form")))
+        counts[words] = F.array("_words", again)
     pairs = F.array(*(F.struct(F.lit(v).alias("version"), c.alias("tokens")) for v, c in counts.items()))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", pairs.alias("counts"))
-    return rows.select("doc_id", "source", "lang", F.explode("counts").alias("c")).select("doc_id", "source", "lang", "c.version", "c.tokens")
+    rows = rows.select("doc_id", "source", "lang", F.explode(pairs).alias("c"))
+    return rows.select("doc_id", "source", "lang", "c.version", F.col("c.tokens")[0].alias("tokens"), F.col("c.tokens")[1].alias("changed_tokens"))
 
 
 class TokenRollup:
