@@ -20,16 +20,24 @@ k + 1 by id can enter any result, so the rest leave the candidates beforehand
 Bounded memory: a task holds one block of queries and one of cells. Nothing
 but per-component ranges and row counts comes to the driver.
 
-Cases: vectors that are null, or hold a null or non-finite component or one
-beyond ``LARGEST``, take no part; a shorter vector counts as ending in zeros,
+Wide vectors, with a component beyond ``LARGEST``, would overflow the integer
+scores. They are kept as they are and scored in integers of any size, block by
+block: wide queries with all vectors, the others with the wide ones. The best
+of both ways are merged. Where there are none, nothing of this runs.
+
+Cases: vectors that are null, or hold a null or non-finite component, take no
+part; a score beyond a long is given as the nearest long, and ranked by its
+true value; a shorter vector counts as ending in zeros,
 so an empty one scores 0 with all; ties go to the smaller id; repeated rows
-with one id are one candidate, the one that comes first by value; rows without
+with one id are one candidate, the one that comes first by value (wide ones first); rows without
 an id take no part; fewer candidates than k give all; an empty table gives no
 rows. Extra input columns are not read.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,15 +51,21 @@ CELL_BITS = 5
 VECTORS_PER_BLOCK = 16384
 QUERIES_PER_BLOCK = 2048
 QUERIES_AT_ONCE = 128       # rows of the bound matrix that a task holds
-LARGEST = float(1 << 24)    # largest component taken, so that scores fit in a long
+LARGEST = float(1 << 24)    # largest component whose scores surely fit in a long
+SCALE = 256
+WIDE_BLOCK = 1024           # vectors in one task of the search among wide ones
+LONGS = (-(1 << 63), (1 << 63) - 1)
 
 
-def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
-    """(vec_id, v): components as floor(scale * x), rows that can't take part left out."""
+def quantised(vectors: DataFrame) -> DataFrame:
+    """(vec_id, v, wide): components as floor(SCALE * x), or a wide vector's own; rows that can't take part left out."""
     x = F.col("embedding")
-    usable = F.col("vec_id").isNotNull() & x.isNotNull() & F.coalesce(F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) <= LARGEST)), F.lit(False))
-    small = F.transform(x, lambda c: F.when(F.abs(c) <= LARGEST, F.floor(c.cast("double") * scale)).otherwise(F.lit(0)).cast("long"))
-    return vectors.select("vec_id", "embedding").where(usable).select(F.col("vec_id").cast("long").alias("vec_id"), small.alias("v"))
+    finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+    usable = F.col("vec_id").isNotNull() & x.isNotNull() & F.coalesce(finite, F.lit(False))
+    large = F.exists(x, lambda c: F.abs(c) > LARGEST)
+    small = F.transform(x, lambda c: F.when(F.abs(c) <= LARGEST, F.floor(c.cast("double") * SCALE)).otherwise(F.lit(0)).cast("long"))
+    return vectors.select("vec_id", "embedding").where(usable).select(
+        F.col("vec_id").cast("long").alias("vec_id"), F.when(~large, small).alias("v"), F.when(large, x.cast("array<double>")).alias("wide"))
 
 
 def _first_of_equal(vectors: DataFrame, k: int) -> DataFrame:
@@ -141,13 +155,57 @@ def _read(pairs: DataFrame, searched: DataFrame, vectors: DataFrame) -> DataFram
             .select("query", "vec_id", _score("q", "v").alias("score")))
 
 
+def _integers(v, wide) -> list[int]:
+    """Components of a row of :func:`quantised` as integers of any size."""
+    if v is not None:
+        return [int(c) for c in v]
+    return [int(c) * SCALE if abs(c) >= 1 << 53 else math.floor(c * SCALE) for c in wide]
+
+
+def _search_wide(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
+    """(query_id, vec_id, exact): the k best of each query's pairs with a wide side; ``exact`` is the score as text."""
+    candidates = staged(vectors.groupBy("vec_id").agg(F.min(F.struct("v", "wide")).alias("s")).select("vec_id", "s.*"), "wide-vectors")
+    queries = candidates.where(is_query)
+    sizes = candidates.agg(F.count("*").alias("n"), F.count("wide").alias("wide"), F.sum(is_query.cast("long")).alias("q")).first()
+    columns, rows = (max(1, -(-(n or 0) // WIDE_BLOCK)) for n in (sizes["n"], sizes["q"]))
+
+    def best(asked: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        others = [(i, _integers(v, w), w is not None) for i, v, w in zip(block["vec_id"], block["v"], block["wide"], strict=True)]
+        for i, v, w in zip(asked["vec_id"], asked["v"], asked["wide"], strict=True):
+            own = _integers(v, w)
+            scores = ((sum(a * b for a, b in zip(own, other, strict=False)), -j) for j, other, wide in others if j != i and (wide or w is not None))
+            found += [(i, -j, str(score)) for score, j in heapq.nlargest(k, scores)]
+        return pd.DataFrame(found, columns=["query_id", "vec_id", "exact"])
+
+    asked = queries.select("*", F.pmod(F.xxhash64("vec_id"), F.lit(rows)).alias("row"), F.explode(F.sequence(F.lit(0), F.lit(columns - 1))).alias("column"))
+    block = candidates.select("*", F.pmod(F.xxhash64("vec_id"), F.lit(columns)).cast("int").alias("column"),
+                              F.explode(F.sequence(F.lit(0).cast("long"), F.lit(rows - 1).cast("long"))).alias("row"))
+    return asked.groupBy("row", "column").cogroup(block.groupBy("row", "column")).applyInPandas(best, "query_id long, vec_id long, exact string")
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 5, bits: int = CELL_BITS) -> DataFrame:
     """(query_id, rank, vec_id, score): each query row's k best rows but itself.
 
-    ``vectors`` has (vec_id, v) as :func:`quantised` gives it; ``is_query`` is a
-    condition on it. One more than k is searched, as a query finds itself.
+    ``vectors`` has (vec_id, v, wide) as :func:`quantised` gives it; ``is_query``
+    is a condition on its id.
     """
-    spark = vectors.sparkSession
+    wide_ids = vectors.where("wide is not null").select("vec_id")
+    if wide_ids.isEmpty():
+        return search_cells(vectors.select("vec_id", "v"), is_query, k, bits)
+    near = search_cells(vectors.select("vec_id", "v").join(wide_ids, "vec_id", "left_anti"), is_query, k, bits)
+    found = near.select("query_id", "vec_id", F.col("score").cast("string").alias("exact")).unionByName(_search_wide(vectors, is_query, k))
+
+    def ranked(rows: pd.DataFrame) -> pd.DataFrame:
+        best = heapq.nlargest(k, ((int(s), -int(j)) for j, s in zip(rows["vec_id"], rows["exact"], strict=True)))
+        return pd.DataFrame([(int(rows["query_id"].iloc[0]), n, -j, min(max(s, LONGS[0]), LONGS[1])) for n, (s, j) in enumerate(best, 1)],
+                            columns=["query_id", "rank", "vec_id", "score"])
+
+    return found.groupBy("query_id").applyInPandas(ranked, "query_id long, rank int, vec_id long, score long")
+
+
+def search_cells(vectors: DataFrame, is_query: Column, k: int = 5, bits: int = CELL_BITS) -> DataFrame:
+    """:func:`search` over (vec_id, v) without wide vectors. One more than k is searched, as a query finds itself."""
     exact = staged(_first_of_equal(vectors, k), "vectors")
     asked = vectors.where(is_query).select(F.col("vec_id").alias("query_id"), "v")
     asked = asked.withColumn("_n", F.row_number().over(Window.partitionBy("query_id").orderBy("v"))).where("_n = 1").drop("_n")

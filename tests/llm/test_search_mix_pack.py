@@ -9,8 +9,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabsmith.llm import mixing, packing, tokens, vector_search
-from tabsmith.llm.queries import tokenizer_path
+from tabsmith.llm import mixing, packing, token_rollup, tokens, vector_search
+from tabsmith.llm.queries import PACK_TOKENIZER, tokenizer_path
 
 from .conftest import CLASHING, docs_of
 
@@ -43,6 +43,20 @@ def test_search_equals_brute_force(spark, n, dims):
     assert {tuple(r) for r in found.select("query_id", "rank", "vec_id", "score").collect()} == brute_force(rows, 5, 5)
 
 
+def test_wide_components_take_part(spark, monkeypatch):
+    """Components whose scores pass a long: ranked by their true values, given as the nearest long."""
+    monkeypatch.setattr(vector_search, "WIDE_BLOCK", 16)
+    random = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in random.normal(0, 0.4, 3)]) for i in range(60)]
+    rows[10:18] = [(10, [3e7, 1.0, 0.0]), (11, [1e20, 0.25, -1e20]), (12, [1e20, 0.25, -1e20]), (13, [-3e7]), (14, [1e38, 1e38, 1e38]),
+                   (15, [1e38, 1e38, 1e38]), (16, [float("inf"), 0.0, 0.0]), (17, [16777217.0, 0.1, 0.2])]
+    df = spark.createDataFrame([(i, e, 0, 1, 2) for i, e in rows], VECTORS)
+    found = vector_search.search(vector_search.quantised(df), F.col("vec_id") % 5 == 0, 5).select("query_id", "rank", "vec_id", "score").collect()
+    low, high = vector_search.LONGS
+    assert {tuple(r) for r in found} == {(q, n, i, min(max(s, low), high)) for q, n, i, s in brute_force(rows, 5, 5)}
+    assert {(0, 1), (5, 1)} <= {(r["query_id"], r["rank"]) for r in found} and any(r["score"] == high for r in found)
+
+
 def test_bounds_hold(spark):
     random = np.random.default_rng(3)
     v = random.integers(-200, 200, (300, 8))
@@ -171,5 +185,65 @@ def test_plan_uses_every_piece_once(seed):
 
 def test_knapsack_is_optimal():
     lengths, prices = np.array([3, 5, 7]), np.array([3.1, 5.3, 7.2])
-    best = max((a * 3.1 + b * 5.3 + c * 7.2) for a in range(8) for b in range(5) for c in range(4) if 3 * a + 5 * b + 7 * c <= 23)
-    assert sum(prices[i] for i in packing.knapsack(lengths, prices, 23)) == pytest.approx(best)
+    best, used, pick = packing.knapsack(lengths, prices, 23)
+    for room in range(24):
+        brute = max(a * 3.1 + b * 5.3 + c * 7.2 for a in range(8) for b in range(5) for c in range(4) if 3 * a + 5 * b + 7 * c <= room)
+        assert best[room] == pytest.approx(brute)
+    held = [[] for _ in lengths]
+    for owner, i in packing.configurations(lengths, used, pick, 23):
+        for o, k in zip(owner, i, strict=True):
+            held[o].append(k)
+    for k, h in enumerate(held):  # the best configuration with each length in it
+        assert k in h and lengths[h].sum() <= 23 and prices[h].sum() == pytest.approx(prices[k] + best[23 - lengths[k]])
+
+
+def fewest(lengths, room):
+    """The least number of sequences, by trying all placements."""
+    best = len(lengths)
+
+    def put(i, free):
+        nonlocal best
+        if len(free) >= best:
+            return
+        if i == len(lengths):
+            best = len(free)
+            return
+        for k in {f: k for k, f in enumerate(free) if f >= lengths[i]}.values():
+            put(i + 1, [*free[:k], free[k] - lengths[i], *free[k + 1:]])
+        put(i + 1, [*free, room - lengths[i]])
+
+    put(0, [])
+    return best
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_bound_and_plan_around_the_optimum(seed):
+    lengths = sorted(np.random.default_rng(seed).integers(8, 60, 9).tolist(), reverse=True)
+    counts = np.bincount(lengths, minlength=101)
+    least = fewest(lengths, 100)
+    assert packing.sequence_bound(counts, 100, rounds=80) <= least <= packing.sequences_of(packing.plan_sequences(counts, 100))
+
+
+def test_configuration_program_on_lengths_that_best_fit_packs_badly():
+    """Lengths around a third of a sequence: the plan stays near the program's bound, best fit doesn't."""
+    lengths = np.clip(np.random.default_rng(0).normal(700, 60, 100_000).round().astype(int), 1, 2048)
+    counts = np.bincount(lengths, minlength=2049)
+    needed, simple = packing.sequences_of(packing.plan_sequences(counts)), packing.sequences_of(packing.best_fit(counts.copy(), 2048))
+    assert needed <= 36_334 < simple - 1000
+    bound = packing.sequence_bound(counts)
+    assert packing.volume_bound(counts, 2048) < bound <= needed <= 1.03 * bound
+
+
+def test_very_long_white_space(spark):
+    """More white space in a row than the pattern engine takes: ids equal those of the tokenizers library."""
+    import tokenizers
+
+    path = tokenizer_path(PACK_TOKENIZER)
+    library = tokenizers.Tokenizer.from_file(path)
+    n = 1_100_000
+    for text in (" " * n, "a" + "\n" * n + "b", "x" + " \n\t" * (n // 3) + " y  z"):
+        assert tokens.encode(path, text).tolist() == library.encode(text, add_special_tokens=False).ids
+    df = docs_of(spark, [" " * n, "short"])
+    rows = packing.pack(df, path).collect()
+    assert sum(r["length"] for r in rows if r["doc_id"] == 0) == len(tokens.encode(path, " " * n)) + 1
+    assert token_rollup.counted(df, {"bpe": path}).where("doc_id = 0").first()["tokens"] == len(tokens.encode(path, " " * n))
