@@ -1,18 +1,21 @@
 """Main text of web pages by tree scoring.
 
 A page is parsed into a tree of elements. Blocks that are boilerplate by
-their element, role or class words (menus, notices, adverts, forms, comments
-and the like) are cut first. Every paragraph then gets points for its length
+their element, role or name (menus, notices, adverts, forms, comments
+and the like) are cut first. A class or id is such a name if it is made of
+boilerplate words and of words without a topic; where the word may be a topic
+itself, a part of an article that holds paragraphs stays. Every paragraph then gets points for its length
 and its commas and passes them to its ancestors, in full to its parent, half
 to the next and less further up. An element's points are discounted by its
 link density; the best one is the main container. Where it lies inside an
 article or main element, all of that element is kept. Elsewhere siblings of it
 are kept that score near it or hold paragraphs in their own right, with the
-headings above them and everything between them but menus. The text is that of
-the kept elements, one line per block.
+headings above them, everything between them but menus, and the paragraphs and
+headings that close them. The text is that of the kept elements, one line per
+block.
 
 Spark reads, splits and writes the rows; a task parses one page at a time, so
-memory is bounded by the longest page of a batch. Whole pages are parsed.
+memory is bounded by a batch of pages and one page's tree. Whole pages are parsed.
 
 Cases: null or empty html gives an empty text and 0 characters; markup that is
 cut off or wrongly nested is repaired as browsers do (an open paragraph ends
@@ -43,14 +46,22 @@ DROPPED = {"nav", "footer", "aside", "form", "button", "select", "option", "inpu
            "canvas", "audio", "video"}
 DROPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "menu", "menubar",
                  "toolbar", "form", "status"}
-DROPPED_WORDS = {"ad", "ads", "adbox", "adblock", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsor", "sponsored",
-                 "promo", "promotion", "banner", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "notification", "alert",
-                 "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "paywall", "sidebar", "side",
-                 "aside", "menu", "menus", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "toc", "pager", "pagination",
-                 "header", "masthead", "topbar", "footer", "copyright", "comment", "comments", "commentlist", "disqus", "reply", "replies",
-                 "respond", "share", "sharing", "social", "related", "recommended", "recommendations", "widget", "widgets", "toolbar",
-                 "form", "search", "skip", "tags", "tagcloud", "disclaimer", "hidden"}
-KEPT_WORDS = {"article", "content", "main", "post", "entry", "story", "body", "text"}
+#: Names of boilerplate wherever they stand.
+DROPPED_WORDS = {"ad", "ads", "adbox", "adblock", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsored",
+                 "promo", "promotion", "banner", "cookie", "cookies", "consent", "gdpr", "popup", "modal", "overlay", "newsletter",
+                 "subscribe", "subscription", "signup", "login", "paywall", "sidebar", "menu", "menus", "nav", "navbar", "navigation",
+                 "breadcrumb", "breadcrumbs", "pager", "pagination", "masthead", "topbar", "footer", "copyright", "related",
+                 "recommended", "recommendations", "widget", "widgets", "toolbar", "disclaimer"}
+#: Names of boilerplate that are topics, too: a part of an article that holds paragraphs stays.
+DOUBTFUL_WORDS = {"alert", "aside", "form", "header", "hidden", "notice", "notices", "notification", "search", "share", "sharing", "side",
+                  "skip", "social", "sponsor", "status", "tagcloud", "tags", "toc"}
+COMMENT_WORDS = {"comment", "comments", "commentlist", "disqus", "replies", "reply", "respond"}
+#: Words that say nothing of an element's topic; a name made of these and of boilerplate is boilerplate.
+PLAIN_WORDS = {"area", "bar", "block", "body", "bottom", "box", "button", "buttons", "col", "column", "container", "desktop", "fixed", "full",
+               "global", "group", "holder", "inner", "item", "items", "js", "layout", "left", "link", "links", "list", "mobile", "module", "outer",
+               "page", "panel", "primary", "right", "row", "secondary", "section", "site", "slot", "sticky", "title", "top", "unit", "wide",
+               "wrap", "wrapper", "thread"}
+KEPT_WORDS = {"article", "content", "main", "post", "entry", "story", "text"}
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
              "option": {"option"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"},
@@ -60,6 +71,7 @@ TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 CLASS_WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 WIDE_SPACE = re.compile(r"\s+")
+RIGHTS = re.compile(r"\s*(?:©|\(c\)|copyright\b|all rights reserved)", re.I)
 
 MAX_DEPTH = 200          # deeper elements become siblings, as browsers do at 512
 PARAGRAPH_MIN = 25       # characters below which a paragraph passes on no points
@@ -144,7 +156,7 @@ def _implied_end(at: Element, tag: str) -> Element:
     return at
 
 
-def is_boilerplate(node: Element, in_article: bool) -> bool:
+def is_boilerplate(node: Element, in_article: bool, page_length: int) -> bool:
     if node.tag in DROPPED or (node.tag == "header" and not in_article):
         return True
     if not node.attributes or node.tag in ("html", "body", "article", "main"):
@@ -157,21 +169,43 @@ def is_boilerplate(node: Element, in_article: bool) -> bool:
             return True
         if name == "role" and value.lower() in DROPPED_ROLES:
             return True
-        if name in ("class", "id"):
-            words = {w.lower() for w in CLASS_WORD.findall(value)}
-            if words & DROPPED_WORDS and not (words & KEPT_WORDS and not words & {"comment", "comments", "sidebar", "ad", "ads", "related"}):
-                return True
+        if name in ("class", "id") and any(names_boilerplate(token, node, in_article, page_length) for token in value.split()):
+            return True
     return False
 
 
-def prune(node: Element, in_article: bool = False) -> None:
-    """Cut boilerplate elements and decode character references."""
+def names_boilerplate(token: str, node: Element, in_article: bool, page_length: int) -> bool:
+    """Whether a class or id names boilerplate: it has such a word and no word of a topic of its own.
+
+    Comments go in any case. A name with a word for content does not speak
+    against an element that holds a title or most of the page; one that may
+    be a topic not against a part of an article with paragraphs.
+    """
+    words = {w.lower() for w in CLASS_WORD.findall(token)}
+    known = DROPPED_WORDS | DOUBTFUL_WORDS | COMMENT_WORDS
+    if not words & known or any(len(w) > 1 for w in words - known - PLAIN_WORDS - KEPT_WORDS):
+        return False
+    if words & COMMENT_WORDS:
+        return True
+    if words & KEPT_WORDS and (2 * node.length > page_length or holds(node, ("h1", "article", "main"))):
+        return False
+    if words & DROPPED_WORDS:
+        return True
+    return not (in_article and (holds_paragraph(node) or ("header" in words and holds(node, HEADINGS))))
+
+
+def holds(node: Element, tags) -> bool:
+    return any(not isinstance(p, str) and (p.tag in tags or holds(p, tags)) for p in node.parts)
+
+
+def prune(node: Element, page_length: int, in_article: bool = False) -> None:
+    """Cut boilerplate elements and decode character references; elements are measured beforehand."""
     kept = []
     for part in node.parts:
         if isinstance(part, str):
             kept.append(html.unescape(part) if "&" in part else part)
-        elif not is_boilerplate(part, in_article):
-            prune(part, in_article or part.tag in ("article", "main"))
+        elif not is_boilerplate(part, in_article, page_length):
+            prune(part, page_length, in_article or part.tag in ("article", "main"))
             kept.append(part)
     node.parts = kept
 
@@ -179,6 +213,7 @@ def prune(node: Element, in_article: bool = False) -> None:
 def measure(node: Element, linked: bool = False) -> None:
     """Text length and linked text length of every element, white space not counted."""
     linked = linked or node.tag == "a"
+    node.length = node.linked = 0
     for part in node.parts:
         if isinstance(part, str):
             size = len(part) if not part.isspace() else 0
@@ -277,15 +312,25 @@ def kept_elements(best: Element) -> list:
         elif not isinstance(part, str) and part.tag in BLOCK:
             paragraph = holds_paragraph(part) and link_density(part) < SIBLING_LINKS
             title = part.tag == "h1" or (part.tag in ("header", "hgroup") and best.parent.tag in ("article", "main"))
-            if paragraph or title or part.score * (1.0 - link_density(part)) >= least:
+            more = part.tag == "article" and link_density(part) < SIBLING_LINKS
+            if paragraph or title or more or part.score * (1.0 - link_density(part)) >= least:
                 chosen.append(k)
     first, last = chosen[0], chosen[-1]
     while first and (isinstance(parts[first - 1], str) and parts[first - 1].isspace()
                      or not isinstance(parts[first - 1], str) and parts[first - 1].tag in HEADINGS):
         first -= 1
+    while last + 1 < len(parts) and (isinstance(parts[last + 1], str) or closes(parts[last + 1])):
+        last += 1
     return [p for k, p in enumerate(parts[first:last + 1], first) if k in chosen or isinstance(p, str) or p.tag not in BLOCK or not is_menu(p)]
 
 
+def closes(part: Element) -> bool:
+    """Whether an element behind the main container still belongs to it: text or a heading, no links and no rights."""
+    if part.tag not in HEADINGS | {"p", "pre", "blockquote", "ul", "ol", "dl", "table", "figure"} and part.tag in BLOCK:
+        return False
+    return link_density(part) < SIBLING_LINKS and not RIGHTS.match(own_text(part))
+
+
 def in_article(node: Element | None) -> bool:
     while node is not None and node.tag not in ("article", "main"):
         node = node.parent
@@ -319,7 +364,8 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
-    prune(root)
+    measure(root)
+    prune(root, root.length)
     measure(root)
     pass_points(root)
     best = best_container(root)

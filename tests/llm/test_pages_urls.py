@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import random
+
+import pytest
+
 from tabsmith.llm import html_extract, url_filter
 from tabsmith.llm.queries import ALLOW_RULES, BLOCK_RULES, LLM_QUERIES
 
@@ -66,6 +70,91 @@ def test_references_without_an_article_are_kept_and_menus_go():
     assert lines[-2:] == ["References", "A reference of the text, by its author"] and not any("no" in x.split() for x in lines)
 
 
+FULL = f"<p>{ARTICLE} {ARTICLE} {ARTICLE}</p>"
+
+
+@pytest.mark.parametrize("part, kept", [
+    (f'<section id="social-history">{FULL}</section>', True), (f'<section class="search-algorithms">{FULL}</section>', True),
+    ('<p class="hidden-gem">A gem of a line.</p>', True), ('<div class="header"><h2>Heading</h2></div>', True),
+    (f'<section id="social">{FULL}</section>', True), (f'<div class="notice">{FULL}</div>', True), (f'<div class="ad-theory">{FULL}</div>', True),
+    ('<div class="share">Tweet this</div>', False), (f'<div class="comments">{FULL}</div>', False), (f'<div id="comment-list">{FULL}</div>', False),
+    ('<div class="entry-footer">Filed under things</div>', False), (f'<div class="sidebar-left">{FULL}</div>', False),
+    (f'<div class="AdBox">{FULL}</div>', False), (f'<div class="site-nav wide">{FULL}</div>', False)])
+def test_names_decide_only_where_they_have_no_topic(part, kept):
+    """A class or id drops an article's part only if it is made of boilerplate words, and not what may be a topic and holds paragraphs."""
+    with_part, without = (html_extract.main_text(f"<body>{NAV}<article><h1>Title</h1>{FULL}{x}{FULL}</article></body>") for x in (part, ""))
+    assert (with_part != without) == kept and len(with_part) >= len(without)
+
+
+def test_wrappers_with_content_stay_and_footers_go():
+    page = f"""<body><div class="content-sidebar-wrap"><h1>A title</h1><div class="entry-content">{FULL * 3}</div>
+<div class="entry-footer">Posted no</div><div class="sidebar">no {FULL}</div></div></body>"""
+    lines = html_extract.main_text(page).split("\n")
+    assert lines[0] == "A title" and len(lines) == 4 and "no" not in " ".join(lines).split()
+
+
+def test_what_closes_the_main_container_is_kept():
+    page = f"<body>{NAV}<div>{FULL * 3}</div><h2>Then</h2><p>A short end.</p><p>© 2020 no</p><p>no</p></body>"
+    assert html_extract.main_text(page).split("\n")[-2:] == ["Then", "A short end."]
+    two = f"<body>{NAV}<main><article>{FULL * 3}</article><article><p>Short second.</p></article></main></body>"
+    assert html_extract.main_text(two).split("\n")[-1] == "Short second."
+
+
+def brute_scores(root):
+    """Points of every element, each paragraph handed up its chain of ancestors one by one."""
+    score, queue = {}, [root]
+    while queue:
+        node = queue.pop()
+        queue += [p for p in node.parts if not isinstance(p, str)]
+        text = " ".join(html_extract.own_text(node).split())
+        if node.tag not in html_extract.BLOCK or node.tag in html_extract.HEADINGS or len(text) < 25:
+            continue
+        target = node.parent if node.tag in ("p", "pre", "li", "td", "th", "dd", "dt", "blockquote") else node
+        for share in (1, 1 / 2, 1 / 6, 1 / 9, 1 / 12):
+            if target is not None:
+                score[id(target)] = score.get(id(target), 0) + share * (1 + text.count(",") + min(len(text) / 100, 3))
+                target = target.parent
+    return score
+
+
+def brute_density(node):
+    """Share of a node's characters inside links, from its list of texts."""
+    def texts(n, linked):
+        for p in n.parts:
+            if isinstance(p, str):
+                yield (0 if p.isspace() else len(p)), linked
+            else:
+                yield from texts(p, linked or p.tag == "a")
+
+    found = list(texts(node, node.tag == "a"))
+    return sum(n for n, linked in found if linked) / max(1, sum(n for n, _ in found))
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_container_choice_equals_brute_force(seed):
+    pick = random.Random(seed)
+
+    def tree(depth):
+        if depth == 0 or pick.random() < 0.25:
+            words = ARTICLE[:pick.randrange(10, len(ARTICLE))] * pick.randrange(1, 6)
+            return f"<p>{words}</p>" if pick.random() < 0.7 else f"<p><a href='/'>{words}</a> and so on</p>"
+        tag = pick.choice(["div", "section", "td", "ul", "blockquote"])
+        return f"<{tag}>{''.join(tree(depth - 1) for _ in range(pick.randrange(1, 5)))}</{tag}>"
+
+    root = html_extract.parse(f"<body>{tree(5)}</body>")
+    html_extract.measure(root)
+    html_extract.pass_points(root)
+    scores, nodes, queue = brute_scores(root), [], [root]
+    while queue:
+        nodes.append(queue.pop())
+        queue += [p for p in nodes[-1].parts if not isinstance(p, str)]
+    for node in nodes:
+        assert abs(node.score - scores.get(id(node), 0)) < 1e-9 and abs(html_extract.link_density(node) - brute_density(node)) < 1e-9
+    top = max(scores.get(id(n), 0) * (1 - brute_density(n)) for n in nodes)
+    best = html_extract.best_container(root)
+    assert (best is None and top <= 0) or abs(scores[id(best)] * (1 - brute_density(best)) - top) < 1e-9
+
+
 def test_extract_rows(spark):
     df = spark.createDataFrame([(1, "u", PAGE, "x", 5), (1, "u", PAGE, "x", 5), (None, None, None, "x", 5)],
                                "page_id long, url string, html string, text string, n_chars long")
