@@ -66,13 +66,14 @@ def sampled(rows: DataFrame, key: Column, most: int, group: str | None = None) -
 
 
 def fitted_in_task(rows: DataFrame, fit) -> bytes:
-    """``fit`` of all ``rows`` (bounded, in order) as one pandas frame, run in one executor task; returns its bytes."""
+    """``fit`` of all ``rows`` (bounded, in order) as one pandas frame, or of None, run in one executor task; returns its bytes."""
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = list(batches)
         yield pd.DataFrame({"model": [fit(pd.concat(parts, ignore_index=True) if parts else None)]})
 
-    return bytes(rows.mapInPandas(learn, "model binary").first()["model"])
+    made = rows.mapInPandas(learn, "model binary").first()
+    return bytes(made["model"]) if made else fit(None)  # no rows may be no tasks
 
 
 def word_count(text: Column) -> Column:

@@ -27,7 +27,7 @@ windows of one group of texts (``GROUP_CHARS``) or by one longer text.
 Cases: a null or empty text has no spans (the digest of no text); texts are
 read whole, whatever their length, in time linear in it; equal texts have equal
 spans; repeated rows and null ids stay as they are; an empty table gives no
-rows, and without any passage the tagger is trained on the written spans alone.
+rows; without any text there is nothing to tag, and nothing is trained.
 Columns other than id and text are not read.
 """
 
@@ -195,7 +195,7 @@ def lookalike(random: Random) -> str:
 
 def training_row(random: Random, passages: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Classes and tags of ``TRAIN_LENGTH`` letters: a passage with written spans and lookalikes."""
-    passage = random.choice(passages) if passages else " ".join(_word(random) for _ in range(40))
+    passage = random.choice(passages)
     offset = random.randrange(max(1, len(passage) - TRAIN_LENGTH))
     passage = passage[offset:offset + 2 * TRAIN_LENGTH]
     text, tags = "", []
@@ -265,7 +265,7 @@ def fit(docs: DataFrame) -> bytes:
     passages = (docs.where(F.length(text) > 0).select("doc_id", text, F.xxhash64("doc_id", text).alias("hash"))
                 .select("hash", F.substring(text, F.greatest(place, F.lit(1)).cast("int"), F.lit(PASSAGE_CHARS)).alias("passage")))
     return fitted_in_task(sampled(passages, F.col("hash"), SAMPLE_PASSAGES).select("passage"),
-                          lambda rows: packed(fitted([] if rows is None else rows["passage"].tolist())))
+                          lambda rows: packed(new_tagger(len(KINDS), HIDDEN, SEED) if rows is None else fitted(rows["passage"].tolist())))
 
 
 # --- decoding -----------------------------------------------------------------
