@@ -7,7 +7,9 @@ from __future__ import annotations
 import pytest
 
 from conftest import SF_SMALL
-from tabsmith.plans.catalog import QUERIES
+from tabsmith.operators import customers as C
+from tabsmith.plans import tabs
+from tabsmith.plans.catalog import QUERIES, _cust
 
 
 @pytest.fixture(scope="module")
@@ -44,9 +46,20 @@ def test_customer_industry_has_no_window_or_fanout(big_shape):
     assert p.count("partial_min(industry") == 1 and p.count("partial_count(industry") == 1
 
 
-def test_bill_to_usage_never_joins_the_universe(big_shape):
+def test_bill_to_usage_never_joins_the_universe(spark, big_shape):
+    """The usage totals come without a join; ranking them joins the written totals with one row per range and customer."""
     p = big_shape("default_address_rank")
-    assert "Join" not in p
+    assert p.count("Join") == 1 and "order_count" in p and p.count("FileScan") == 2
+    view = _cust(spark, SF_SMALL)
+    sources = [s for s, _ in tabs._usage_sources(view, "bill_to_id", True)]
+    totals = C.address_totals(C.address_counts(sources, "bill_to_id"), "bill_to_id")
+    assert "Join" not in totals._jdf.queryExecution().executedPlan().toString()
+
+
+def test_usage_and_shipped_lines_are_read_once(big_shape):
+    """The totals behind the default flag and the shipped items are written once and read by both sides of their joins."""
+    assert "partial_count(id" not in big_shape("tab_bill_to")
+    assert big_shape("unit_weight").count("FileScan") == 4  # packages, shipments, and the written rows twice
 
 
 def test_bom_selection_uses_aggregate_not_window(big_shape):
