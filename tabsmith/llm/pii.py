@@ -7,7 +7,7 @@ number of digits, Luhn sum) is dropped and not tried again in part. The tagger
 (dot) com``, ``10[.]0[.]0[.]1``, national phone numbers, dotted card numbers)
 and those that a greedy pattern lost to a neighbour (a phone number followed by
 a card number). A tagged span stays if it passes :func:`acceptable` and touches
-no base span.
+no base span. It shows in ``spans`` alone: counts and digest are of the base spans.
 
 Training. Labelled spans are written into short passages of the corpus by rule,
 in the spellings above, beside things that look alike and are none (hex tokens,
@@ -338,7 +338,7 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 
 
 def _row(base: list, spans: list) -> tuple:
-    counts = [sum(kind == k for _, kind, _ in spans) for k in range(len(KINDS))]
+    counts = [sum(kind == k for _, kind, _ in base) for k in range(len(KINDS))]
     return (*counts, hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans))
 
 
@@ -359,7 +359,7 @@ def _groups(texts: list[str]) -> Iterator[list[str]]:
 
 
 def find_spans(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_<kind> of all spans, base_sha256 and spans."""
+    """One row per document: doc_id, n_<kind> and base_sha256 of the base spans, and all spans."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     model = fit(rows)
 

@@ -170,6 +170,16 @@ def test_pii_odd_rows(spark):
     assert pii.find_spans(docs.where("false")).collect() == []
 
 
+def test_counts_are_of_base_spans(spark, model, monkeypatch):
+    """What the tagger adds shows among the spans and is not counted."""
+    monkeypatch.setattr(pii, "fit", lambda docs: pii.packed(model))
+    text = "ring +1 (826) 555-4081 4387393285946913 now, mail a@b.de"
+    (row,) = pii.find_spans(docs_of(spark, [text])).collect()
+    base = plain_base(text)
+    assert len(row["spans"].split(",")) > len(base) and row["base_sha256"] == digest_of(base)
+    assert [row[f"n_{kind}"] for kind in pii.KINDS] == [sum(k == i for _, k, _ in base) for i in range(len(pii.KINDS))]
+
+
 # --- manifest --------------------------------------------------------------------
 
 def h(text):
