@@ -223,9 +223,10 @@ def plan_sequences(counts: np.ndarray, room: int = SEQUENCE_LENGTH) -> list[tupl
     left = np.array(counts, dtype=np.int64)
     full = [((room,), int(left[room]))] if left[room] else []
     left[room] = 0
-    plans, begun = [best_fit(left.copy(), room)], []
+    plans, begun, least = [best_fit(left.copy(), room)], [], volume_bound(left, room)
     for _ in range(LEVELS):
-        if np.count_nonzero(left) < 2 or sequences_of(plans[0]) <= volume_bound(counts, room):
+        # Neither stop changes the plan: the first of equal ones is taken, and best fit is exact for what is left of one length.
+        if np.count_nonzero(left) < 2 or sequences_of(plans[0]) <= least:
             break
         solution = relax(left, room, CLASSES, ROUNDS)
         tried = [rounded(solution, left, room, scale) for scale in SCALES]

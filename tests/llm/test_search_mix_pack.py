@@ -234,6 +234,16 @@ def test_configuration_program_on_lengths_that_best_fit_packs_badly():
     assert packing.volume_bound(counts, 2048) < bound <= needed <= 1.03 * bound
 
 
+def test_full_pieces_do_not_change_the_plan_of_the_others():
+    """Best fit is held against the bound of the pieces that it packs, however many full ones there are."""
+    lengths = np.clip(np.random.default_rng(0).normal(88, 8, 3000).round().astype(int), 1, 255)
+    counts = np.bincount(lengths, minlength=257)
+    alone = packing.plan_sequences(counts, 256)
+    assert packing.sequences_of(alone) < packing.sequences_of(packing.best_fit(counts.copy(), 256))
+    counts[256] = 5000
+    assert packing.plan_sequences(counts, 256) == [((256,), 5000), *alone]
+
+
 def test_very_long_white_space(spark):
     """More white space in a row than the pattern engine takes: ids equal those of the tokenizers library."""
     import tokenizers
