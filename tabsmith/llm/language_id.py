@@ -6,17 +6,21 @@ are grouped into families by how alike their mean vectors are. One linear
 support vector machine per family separates it from the others; within a
 family one per pair of languages decides by vote.
 
-The classifier is fitted on a bounded sample of labelled rows: at most
-``SAMPLE_ROWS``, dealt evenly over the languages in hash order. Every text is
+Every labelled row teaches. The families come from the mean vectors of all
+rows. The rows are then dealt by hash into blocks of about ``BLOCK_ROWS``; every
+block fits each machine on its own rows, and a machine's weights are their mean
+over the blocks, each weighed by the rows of its rarer side. A language with
+too few rows to give each block ``LEAST_ROWS`` has its rows dealt to several
+blocks, up to all, so that every block holds every language. Every text is
 predicted, from the whole text and nothing else.
 
 The score tells the learned languages apart and says nothing of others, so a
 stage that keeps identified documents also asks how many of a text's letter
 trigrams training knows (:func:`known_share`): noise, code and unlearned
-languages and scripts hold few. The least share is calibrated per language on
-labelled rows outside the sample, with room for chance in short texts. The
-sample's texts are written once; the machines are fitted on them in one
-executor task.
+languages and scripts hold few. Trigrams are counted over all labelled rows that
+teach, and the least share is calibrated per language on all that do not, with
+room for chance in short texts. The driver sees a vector per language and
+machine, the known trigrams and a histogram of shares per language.
 
 Cases: a text that is null or has no letter (Unicode L*: no number signs) is ``und`` with score 0; so is
 every text where there is nothing to learn from. Rows without an id or a label
@@ -27,8 +31,9 @@ by :func:`with_language`.
 
 from __future__ import annotations
 
-import pickle
 import re
+import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -36,18 +41,20 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabsmith.llm.common import fitted_in_task, sampled, staged
+from tabsmith.llm.common import staged
 
 BITS = 12             # hashed n-gram cells: 2 ** BITS
 LONGEST_GRAM = 3
-SAMPLE_ROWS = 3000    # labelled rows that the classifier is fitted on, at most
+BLOCK_ROWS = 3000     # labelled rows that a machine is fitted on at once, about
+LEAST_ROWS = 50       # rows of a language in a block, about, where it has fewer for all blocks
 PENALTY = 10.0        # cost of a margin violation
 EPOCHS = 12
 SHARPNESS = 4.0       # of the logistic curve from a margin to a probability
 SLICE_CHARS = 200_000
 MIN_SCORE = 0.3       # below it a stage that keeps identified documents rejects
-CALIBRATION_ROWS = 1500   # labelled rows outside the sample that set the least share of known trigrams, at most
-KNOWN_IN = 0.001          # a known trigram is in this share of the sample's texts
+KNOWN_IN = 0.001          # a known trigram is in this share of a language's texts
+GRAMS_AT_ONCE = 1 << 21   # trigrams that a task holds before it counts them
+SHARE_STEPS = 10_000      # steps of the histogram of shares
 CLEAN_QUANTILE = 0.01     # of the calibration rows' shares of a language ...
 CLEAN_SLACK = 0.85        # ... times this is the least share
 CHANCE = 2.0              # standard errors below it that a short text may fall
@@ -177,79 +184,167 @@ class LanguageModel:
         return names[best], score * float(sure[best]) / (len(names) - 1)
 
 
-def fit_sample(x: np.ndarray, languages: list[str]) -> LanguageModel:
-    """Model from the sample's vectors and labels."""
-    if not languages:
-        return LanguageModel()
+def machines(families: list[list[str]]) -> list[tuple[list[str], list[str]]]:
+    """(languages of the positive side, of the negative side): one machine per family, then one per pair within each."""
+    names = [name for family in families for name in family]
+    sides = [(family, [n for n in names if n not in family]) for family in families] if len(families) > 1 else []
+    return sides + [([a], [b]) for family in families for i, a in enumerate(family) for b in family[i + 1:]]
+
+
+def fit_block(x: np.ndarray, languages: list[str], families: list[list[str]]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(machine, rows of its rarer side, weights) of the machines that have rows on both sides."""
     label = np.array(languages)
-    families = group_families({name: x[label == name].mean(axis=0) for name in set(languages)})
-    family_of = {name: k for k, names in enumerate(families) for name in names}
-    family = np.array([family_of[name] for name in languages])
+    for number, (one, other) in enumerate(machines(families)):
+        positive, negative = np.isin(label, one), np.isin(label, other)
+        rarer = int(min(positive.sum(), negative.sum()))
+        if rarer:
+            rows = np.flatnonzero(positive | negative)
+            yield number, rarer, svm(x, rows, positive[rows])
+
+
+def assembled(families: list[list[str]], weights: dict[int, np.ndarray]) -> LanguageModel:
+    """Model of the families with the weights of :func:`machines`."""
     model = LanguageModel(families)
-    if len(families) > 1:
-        model.family_weights = np.stack([svm(x, np.arange(len(x)), family == k) for k in range(len(families))])
+    number = len(families) if len(families) > 1 else 0
+    if number:
+        model.family_weights = np.stack([weights[k] for k in range(number)])
     for k, names in enumerate(families):
         if len(names) > 1:
             model.pairs[k] = [(a, b) for a in range(len(names)) for b in range(a + 1, len(names))]
-            rows = [np.flatnonzero((label == names[a]) | (label == names[b])) for a, b in model.pairs[k]]
-            model.pair_weights[k] = np.stack([svm(x, r, label[r] == names[a]) for r, (a, _) in zip(rows, model.pairs[k], strict=True)])
+            model.pair_weights[k] = np.stack([weights[number + i] for i in range(len(model.pairs[k]))])
+            number += len(model.pairs[k])
     return model
 
 
-def sample(docs: DataFrame, teaches: Column, most: int) -> DataFrame:
-    """(doc_id, lang, text) of at most ``most`` labelled rows for which ``teaches`` holds, dealt over the languages.
+def fit_sample(x: np.ndarray, languages: list[str]) -> LanguageModel:
+    """Model from the vectors and labels of one block."""
+    if not languages:
+        return LanguageModel()
+    label = np.array(languages)
+    families = group_families({name: x[label == name].mean(axis=0) for name in set(languages)})
+    return assembled(families, {number: w for number, _, w in fit_block(x, languages, families)})
 
-    Ids are chosen first, then their texts are read and written once, as several steps read them.
-    """
-    labelled = docs.where(teaches & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    ids = sampled(labelled.select("doc_id", "lang"), F.col("doc_id").cast("string"), most, "lang").distinct()
-    chosen = labelled.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"])  # ``most`` rows at most
-    return staged(chosen, "language-sample")
 
+def labelled(docs: DataFrame, teaches: Column) -> DataFrame:
+    """(doc_id, lang, text) of the labelled rows for which ``teaches`` holds."""
+    known = F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
+    return docs.where(teaches & known).select("doc_id", "lang", "text")
 
-def fit(chosen: DataFrame) -> LanguageModel:
-    """Fit on a bounded sample (doc_id, lang, text), in one executor task."""
 
-    @F.pandas_udf("binary")
-    def vector(texts: pd.Series) -> pd.Series:
-        return pd.Series([features(t).astype(np.float16).tobytes() if has_letter(t) else None for t in texts], dtype=object)
+def _unpacked(vectors: pd.Series) -> np.ndarray:
+    return np.stack([np.frombuffer(zlib.decompress(v), dtype=np.float16) for v in vectors]).astype(np.float32)
+
+
+def added_up(rows: DataFrame) -> DataFrame:
+    """Sums of ``weight`` and of the vectors in ``total`` by ``key``, within each task of ``rows``."""
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict = {}
+        for batch in batches:
+            for key, weight, total in zip(batch["key"], batch["weight"], batch["total"], strict=True):
+                n, vector = sums.get(key, (0, 0.0))
+                sums[key] = n + weight, vector + np.frombuffer(total)
+        if sums:
+            yield pd.DataFrame([(k, n, v.tobytes()) for k, (n, v) in sums.items()], columns=["key", "weight", "total"])
+
+    return rows.mapInPandas(add, rows.schema)
+
 
-    def learn(rows: pd.DataFrame | None) -> bytes:
-        if rows is None:
-            return pickle.dumps(LanguageModel())
-        x = np.frombuffer(b"".join(rows["x"]), dtype=np.float16).reshape(len(rows), -1)
-        return pickle.dumps(fit_sample(x.astype(np.float32), rows["lang"].tolist()))
+def mean_vectors(rows: DataFrame) -> dict:
+    """{key: (weight, mean vector)} of rows (key, weight, total), added up in each task and then by key."""
+    return {r["key"]: (r["weight"], np.frombuffer(bytes(r["total"])) / r["weight"])
+            for r in added_up(added_up(rows).repartition("key")).collect()}
 
-    rows = (chosen.select("doc_id", "lang", vector("text").alias("x")).where("x is not null")
-            .groupBy("doc_id", "lang").agg(F.min("x").alias("x")).orderBy("lang", "doc_id").limit(SAMPLE_ROWS))
-    return pickle.loads(fitted_in_task(rows.select("lang", "x"), learn))
 
+def fit(teaching: DataFrame) -> LanguageModel:
+    """Fit on all rows (doc_id, lang, text): families by the means of all, machines by blocks."""
 
-def known_grams(chosen: DataFrame) -> np.ndarray:
-    """Sorted trigrams that enough texts of the sample hold; the sample bounds their number."""
+    @F.pandas_udf("binary")
+    def vector(texts: pd.Series) -> pd.Series:
+        return pd.Series([zlib.compress(features(t).astype(np.float16).tobytes(), 1) if has_letter(t) else None for t in texts], dtype=object)
 
-    @F.pandas_udf("array<long>")
-    def distinct(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.unique(trigrams(t)) for t in texts], dtype=object)
+    def by_language(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame([(lang, len(own), _unpacked(own).sum(axis=0, dtype=float).tobytes()) for lang, own in batch.groupby("lang")["x"]],
+                               columns=["key", "weight", "total"])
 
-    counts = chosen.select(F.explode(distinct("text")).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    enough = counts.where(F.col("n") >= max(1, int(np.ceil(KNOWN_IN * chosen.count()))))
-    return np.sort(enough.select("gram").toPandas()["gram"].to_numpy(dtype=np.int64))
+    rows = staged(teaching.select("doc_id", "lang", vector("text").alias("x")).where("x is not null"), "language-vectors")
+    means = mean_vectors(rows.select("lang", "x").mapInPandas(by_language, "key string, weight long, total binary"))
+    if not means:
+        return LanguageModel()
+    families = group_families({lang: mean for lang, (_, mean) in means.items()})
+    blocks = -(-sum(n for n, _ in means.values()) // BLOCK_ROWS)
+    copies = {lang: min(blocks, -(-LEAST_ROWS * blocks // n)) for lang, (n, _) in means.items()}
+    copies = F.create_map(*[F.lit(v) for pair in copies.items() for v in pair])[F.col("lang")]
+
+    def learn(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.sort_values(["lang", "doc_id"])
+        fitted = fit_block(_unpacked(block["x"]), block["lang"].tolist(), families)
+        return pd.DataFrame([(k, rarer, (rarer * w.astype(float)).tobytes()) for k, rarer, w in fitted], columns=["key", "weight", "total"])
+
+    place = F.xxhash64(F.col("doc_id").cast("string"), "lang")
+    dealt = rows.withColumn("_copy", F.explode(F.sequence(F.lit(0), copies - 1))).select(
+        F.pmod(place + F.col("_copy"), F.lit(blocks)).alias("_block"), "doc_id", "lang", "x").repartition("_block")
+    once = dealt.groupBy("_block", "doc_id", "lang").agg(F.min("x").alias("x"))  # a repeated row teaches once
+    fitted = mean_vectors(once.groupBy("_block").applyInPandas(learn, "key int, weight long, total binary"))
+    return assembled(families, {k: w.astype(np.float32) for k, (_, w) in fitted.items()})
+
+
+def known_grams(teaching: DataFrame) -> np.ndarray:
+    """Sorted trigrams that enough texts of some language hold; the share that is enough bounds their number."""
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[str, list[np.ndarray]] = {}
+        size = 0
+
+        def counts() -> pd.DataFrame:
+            parts = []
+            for lang, grams in held.items():
+                gram, n = np.unique(np.concatenate(grams), return_counts=True)
+                parts.append(pd.DataFrame({"lang": lang, "gram": gram, "n": n}))
+            return pd.concat(parts, ignore_index=True)
+
+        for batch in batches:
+            for lang, text in zip(batch["lang"], batch["text"], strict=True):
+                own = np.unique(trigrams(text))
+                held.setdefault(lang, []).append(own)
+                size += len(own)
+                if size >= GRAMS_AT_ONCE:
+                    yield counts()
+                    held, size = {}, 0
+        if held:
+            yield counts()
+
+    texts = {r["lang"]: r["n"] for r in teaching.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not texts:
+        return np.zeros(0, dtype=np.int64)
+    enough = F.create_map(*[F.lit(v) for lang, n in texts.items() for v in (lang, max(1, int(np.ceil(KNOWN_IN * n))))])[F.col("lang")]
+    sums = teaching.select("lang", "text").mapInPandas(counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return np.sort(sums.where(F.col("n") >= enough).select("gram").distinct().toPandas()["gram"].to_numpy(dtype=np.int64))
 
 
 def least_shares(calibration: DataFrame, known: np.ndarray) -> dict[str | None, float]:
-    """Least share of known trigrams by language; under None that of a language without calibration rows."""
+    """Least share of known trigrams by language; under None that of a language without calibration rows.
+
+    The quantile of all rows, to a step of their histogram.
+    """
+    shared = calibration.sparkSession.sparkContext.broadcast(known)
+
+    @F.pandas_udf("int")
+    def step(texts: pd.Series) -> pd.Series:
+        return pd.Series([int(known_share(t, shared.value)[0] * SHARE_STEPS) if has_letter(t) else None for t in texts], dtype="Int32")
+
+    steps = calibration.select("lang", step("text").alias("step")).where("step is not null")
+    rows = steps.groupBy("lang", "step").agg(F.count(F.lit(1)).alias("n")).collect()  # ``SHARE_STEPS`` rows a language at most
+    counts: dict[str | None, np.ndarray] = {None: np.zeros(SHARE_STEPS + 1, dtype=np.int64)}
+    for r in rows:
+        for lang in (r["lang"], None):
+            counts.setdefault(lang, np.zeros(SHARE_STEPS + 1, dtype=np.int64))[r["step"]] += r["n"]
 
-    @F.pandas_udf("double")
-    def share(texts: pd.Series) -> pd.Series:
-        return pd.Series([known_share(t, known)[0] if has_letter(t) else None for t in texts], dtype=float)
+    def quantile(n: np.ndarray) -> float:
+        return float(np.searchsorted(np.cumsum(n), int(CLEAN_QUANTILE * (n.sum() - 1)), side="right")) / SHARE_STEPS
 
-    rows = calibration.select("lang", share("text").alias("share")).where("share is not null")
-    shares: dict[str | None, list[float]] = {None: []}
-    for r in rows.limit(CALIBRATION_ROWS).collect():
-        shares.setdefault(r["lang"], []).append(r["share"])
-        shares[None].append(r["share"])
-    return {lang: CLEAN_SLACK * float(np.quantile(v, CLEAN_QUANTILE, method="lower")) if v else 0.0 for lang, v in shares.items()}
+    return {lang: CLEAN_SLACK * quantile(n) if n.any() else 0.0 for lang, n in counts.items()}
 
 
 def is_known(text: str | None, lang: str, known: np.ndarray, least: dict[str | None, float]) -> bool:
@@ -275,17 +370,17 @@ def with_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
 def identify(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score."""
     rows = docs.select("doc_id", "text", "lang")
-    model = fit(sample(rows, ~held_out(), SAMPLE_ROWS))
+    model = fit(labelled(rows, ~held_out()))
     out = with_language(rows.select("doc_id", "text"), model)
     return out.select("doc_id", held_out().alias("held_out"), "_language.lang_pred", "_language.score")
 
 
 def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs`` in a learned language, identified with at least ``min_score``; same columns."""
-    chosen = sample(docs, ~held_out(), SAMPLE_ROWS)
-    named = with_language(docs, fit(chosen))
-    known = known_grams(chosen)
-    shared = docs.sparkSession.sparkContext.broadcast((known, least_shares(sample(docs, held_out(), CALIBRATION_ROWS), known)))
+    teaching = labelled(docs, ~held_out())
+    named = with_language(docs, fit(teaching))
+    known = known_grams(teaching)
+    shared = docs.sparkSession.sparkContext.broadcast((known, least_shares(labelled(docs, held_out()), known)))
 
     @F.pandas_udf("boolean")
     def learned(texts: pd.Series, langs: pd.Series) -> pd.Series:

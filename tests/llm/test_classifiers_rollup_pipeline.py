@@ -62,6 +62,27 @@ def test_sample_is_dealt_over_groups_and_stays_the_same(spark):
     assert sampled(df.limit(0), F.col("doc_id"), 50, "lang").count() == 0
 
 
+def test_every_labelled_row_teaches(spark):
+    """More rows than one block holds: the last language by name is learned, however rare; every row counts in the thresholds."""
+    texts = {"a": "the cat and the dog", "b": "le chat et le chien", "c": "der hund und die katze"}
+    rows = [(i, lang, f"{texts[lang]} {'xyzuvw'[i % 6]}") for i, lang in enumerate("a" * 3900 + "b" * 2400 + "c" * 40)]
+    docs = spark.createDataFrame(rows + rows[:20], "doc_id long, lang string, text string")
+    model = language_id.fit(docs)
+    assert {lang: model.predict(text)[0] for lang, text in texts.items()} == {lang: lang for lang in texts}
+    again = language_id.fit(docs.repartition(7))
+    assert again.families == model.families and np.allclose(again.family_weights, model.family_weights, atol=1e-5)
+    counts, size = Counter(), Counter(lang for _, lang, _ in rows + rows[:20])
+    for _, lang, text in rows + rows[:20]:
+        counts.update((lang, g) for g in set(language_id.trigrams(text).tolist()))
+    known = language_id.known_grams(docs)
+    assert known.tolist() == sorted({g for (lang, g), n in counts.items() if n >= max(1, np.ceil(language_id.KNOWN_IN * size[lang]))})
+    held = spark.createDataFrame([("a", texts["a"])] * 1950 + [("a", "the cat qqqq")] * 50 + [("c", "12")], "lang string, text string")
+    share = language_id.known_share("the cat qqqq", known)[0]
+    least = language_id.least_shares(held, known)
+    assert 0 < share < 0.9 and set(least) == {"a", None} and least["a"] == least[None]
+    assert abs(least["a"] - language_id.CLEAN_SLACK * share) <= 1 / language_id.SHARE_STEPS
+
+
 def test_noise_and_unlearned_scripts_are_rejected(spark):
     import random
 
