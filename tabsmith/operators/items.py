@@ -187,17 +187,23 @@ def config_items(ord_detail: DataFrame, orders: DataFrame, hist_ord_detail: Data
 def package_lines(shipment_packages: DataFrame, shipments: DataFrame, shipment_dtl: DataFrame,
                   ord_detail: DataFrame) -> DataFrame:
     """One row per (package, shipment line, order line) with the package
-    weight, the order-line quantity and the package's total shipped quantity
-    (``sum over (partition by package)``, computed as an aggregate joined
-    back: combined map-side and skew-split by AQE)."""
+    weight, the order-line quantity and the package's total shipped quantity.
+
+    Lines meet packages last, in a join that nothing is shuffled after: the
+    lines of shipments with a package are written once, their quantity is
+    added up per shipment, and a package's total is the sum over its
+    shipments, an aggregate of packages joined back to packages."""
     sp = shipment_packages.select(F.col("id").alias("package_id"), F.col("shipments_id").alias("__sid"),
                                   F.col("actual_weight").alias("total_package_weight"))
     s = shipments.select(F.col("id").alias("__sid"))
     sd = shipment_dtl.select(F.col("shipments_id").alias("__sid"), F.col("order_dtl_id").alias("__od"),
                              F.col("cumm_shipped").alias("shipped_quantity"))
     od = ord_detail.select(F.col("id").alias("__od"), "arinvt_id", F.col("cumm_shipped").alias("item_quantity"))
-    lines = sp.join(s, "__sid").join(sd, "__sid").join(od, "__od")
-    return with_group_total(lines, ["package_id"], "shipped_quantity", "total_package_quantity").select(
+    lines = staged(sd.join(sp.select("__sid"), "__sid", "left_semi").join(od, "__od").drop("__od"), "package-lines")
+    loads = lines.groupBy("__sid").agg(F.sum("shipped_quantity").alias("__load"))
+    packages = with_group_total(sp.join(s, "__sid").join(loads, "__sid"), ["package_id"], "__load", "__total")
+    total = F.col("__total").cast(loads.schema["__load"].dataType)
+    return packages.withColumn("total_package_quantity", total).join(lines, "__sid").select(
         "package_id", "total_package_weight", "arinvt_id", "item_quantity", "total_package_quantity",
         (F.col("total_package_weight")
          * (F.col("item_quantity") / F.nullif(F.col("total_package_quantity"), F.lit(0)))).alias("distributed_weight"))

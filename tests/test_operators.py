@@ -166,3 +166,26 @@ def test_config_items_semi_joins(spark):
     qd = spark.createDataFrame([(1, 1, "SALES_CONFIG"), (2, 1, "SALES_CONFIG"), (3, 2, "MANUAL")],
                                "id long, crm_quote_id long, source string")
     assert sorted(rows(I.config_items(od, orders, hod, orders, quote, qd))) == [(5,), (7,)]
+
+
+def test_package_lines_total_packages_before_lines_join(spark, monkeypatch):
+    """Totals are joined back to packages, not to lines; repeated and null ids count as often as their rows."""
+    from collections import Counter
+
+    from tabsmith.operators import items
+
+    totalled, group_total = [], items.with_group_total
+    monkeypatch.setattr(items, "with_group_total", lambda df, *args: (totalled.append(df.columns), group_total(df, *args))[1])
+    packages = [(1, 10, 2.0), (1, 11, 3.0), (1, 10, 2.0), (None, 10, 1.0), (None, 11, None), (3, 12, 4.0), (4, None, 5.0), (5, 13, 6.0)]
+    shipments, lines = [10, 10, 11, 13, None, 14], [(10, 100, 4), (10, 101, None), (11, 100, 6), (12, 100, 7), (13, 102, 0), (None, 100, 9)]
+    orders = [(100, 7, 8), (100, 8, 9), (101, 7, None), (102, 9, 3), (None, 1, 1)]
+    rows = [(p, w, a, iq, q) for p, ps, w in packages for s in shipments for ls, o, q in lines for i, a, iq in orders
+            if ps is not None and ps == s == ls and o == i]
+    total = {p: sum(q or 0 for k, *_, q in rows if k == p) for p, *_ in rows}
+    want = Counter((p, w, a, iq, total[p], w * (iq / total[p]) if None not in (w, iq) and total[p] else None) for p, w, a, iq, _ in rows)
+    got = items.package_lines(spark.createDataFrame(packages, "id long, shipments_id long, actual_weight double"),
+                              spark.createDataFrame([(s,) for s in shipments], "id long"),
+                              spark.createDataFrame(lines, "shipments_id long, order_dtl_id long, cumm_shipped long"),
+                              spark.createDataFrame(orders, "id long, arinvt_id long, cumm_shipped long"))
+    assert Counter(tuple(r) for r in got.collect()) == want and len(want) > 5
+    assert all("arinvt_id" not in columns for columns in totalled) and totalled
