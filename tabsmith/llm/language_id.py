@@ -284,7 +284,7 @@ def fit(teaching: DataFrame) -> LanguageModel:
 
     place = F.xxhash64(F.col("doc_id").cast("string"), "lang")
     dealt = rows.withColumn("_copy", F.explode(F.sequence(F.lit(0), copies - 1))).select(
-        F.pmod(place + F.col("_copy"), F.lit(blocks)).alias("_block"), "doc_id", "lang", "x").repartition("_block")
+        F.pmod(place + F.col("_copy"), F.lit(blocks)).alias("_block"), "doc_id", "lang", "x").repartition(blocks, "_block")
     once = dealt.groupBy("_block", "doc_id", "lang").agg(F.min("x").alias("x"))  # a repeated row teaches once
     fitted = mean_vectors(once.groupBy("_block").applyInPandas(learn, "key int, weight long, total binary"))
     return assembled(families, {k: w.astype(np.float32) for k, (_, w) in fitted.items()})
