@@ -33,7 +33,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -232,41 +232,60 @@ def labelled(docs: DataFrame, teaches: Column) -> DataFrame:
 
 
 def _unpacked(vectors: pd.Series) -> np.ndarray:
-    return np.stack([np.frombuffer(zlib.decompress(v), dtype=np.float16) for v in vectors]).astype(np.float32)
+    out = np.empty((len(vectors), 1 << BITS), dtype=np.float32)
+    for row, vector in zip(out, vectors, strict=True):
+        row[:] = np.frombuffer(zlib.decompress(vector), dtype=np.float16)
+    return out
 
 
-def added_up(rows: DataFrame) -> DataFrame:
-    """Sums of ``weight`` and of the vectors in ``total`` by ``key``, within each task of ``rows``."""
+def added_up(parts: Iterable[tuple]) -> Iterator[pd.DataFrame]:
+    """One frame (key, weight, total): sums of the weights and vectors of ``parts`` (key, weight, vector) by key."""
+    sums: dict = {}
+    for key, weight, part in parts:
+        n, vector = sums.get(key, (0, 0.0))
+        sums[key] = n + weight, vector + part
+    if sums:
+        yield pd.DataFrame([(k, n, v.tobytes()) for k, (n, v) in sums.items()], columns=["key", "weight", "total"])
 
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict = {}
-        for batch in batches:
-            for key, weight, total in zip(batch["key"], batch["weight"], batch["total"], strict=True):
-                n, vector = sums.get(key, (0, 0.0))
-                sums[key] = n + weight, vector + np.frombuffer(total)
-        if sums:
-            yield pd.DataFrame([(k, n, v.tobytes()) for k, (n, v) in sums.items()], columns=["key", "weight", "total"])
 
-    return rows.mapInPandas(add, rows.schema)
+def mean_vectors(rows: DataFrame) -> dict:
+    """{key: (weight, mean vector)} of rows (key, weight, total) that their tasks have added up, added up by key."""
 
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from added_up((k, n, np.frombuffer(total)) for b in batches for k, n, total in zip(b["key"], b["weight"], b["total"], strict=True))
 
-def mean_vectors(rows: DataFrame) -> dict:
-    """{key: (weight, mean vector)} of rows (key, weight, total), added up in each task and then by key."""
     return {r["key"]: (r["weight"], np.frombuffer(bytes(r["total"])) / r["weight"])
-            for r in added_up(added_up(rows).repartition("key")).collect()}
+            for r in rows.repartition("key").mapInPandas(add, rows.schema).collect()}
+
+
+def whole_blocks(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The blocks of rows that come in order of (_block, lang, doc_id, x), one at a time; a repeated row once."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        for number, rows in batch.groupby("_block", sort=False):
+            if held and held[0]["_block"].iat[0] != number:
+                yield pd.concat(held, ignore_index=True).drop_duplicates(["lang", "doc_id"])
+                held = []
+            held.append(rows.drop_duplicates(["lang", "doc_id"]))
+    if held:
+        yield pd.concat(held, ignore_index=True).drop_duplicates(["lang", "doc_id"])
 
 
 def fit(teaching: DataFrame) -> LanguageModel:
-    """Fit on all rows (doc_id, lang, text): families by the means of all, machines by blocks."""
+    """Fit on all rows (doc_id, lang, text): families by the means of all, machines by blocks.
+
+    No task has two Python steps in a row: each would hold a worker process of its own.
+    """
 
     @F.pandas_udf("binary")
     def vector(texts: pd.Series) -> pd.Series:
         return pd.Series([zlib.compress(features(t).astype(np.float16).tobytes(), 1) if has_letter(t) else None for t in texts], dtype=object)
 
+    # A filter on a function that counts as deterministic would be pushed below the selection, and it would run twice.
+    vector = vector.asNondeterministic()
+
     def by_language(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame([(lang, len(own), _unpacked(own).sum(axis=0, dtype=float).tobytes()) for lang, own in batch.groupby("lang")["x"]],
-                               columns=["key", "weight", "total"])
+        yield from added_up((lang, len(own), _unpacked(own).sum(axis=0, dtype=float)) for batch in batches for lang, own in batch.groupby("lang")["x"])
 
     rows = staged(teaching.select("doc_id", "lang", vector("text").alias("x")).where("x is not null"), "language-vectors")
     means = mean_vectors(rows.select("lang", "x").mapInPandas(by_language, "key string, weight long, total binary"))
@@ -277,16 +296,15 @@ def fit(teaching: DataFrame) -> LanguageModel:
     copies = {lang: min(blocks, -(-LEAST_ROWS * blocks // n)) for lang, (n, _) in means.items()}
     copies = F.create_map(*[F.lit(v) for pair in copies.items() for v in pair])[F.col("lang")]
 
-    def learn(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values(["lang", "doc_id"])
-        fitted = fit_block(_unpacked(block["x"]), block["lang"].tolist(), families)
-        return pd.DataFrame([(k, rarer, (rarer * w.astype(float)).tobytes()) for k, rarer, w in fitted], columns=["key", "weight", "total"])
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from added_up((k, rarer, rarer * w.astype(float)) for block in whole_blocks(batches)
+                            for k, rarer, w in fit_block(_unpacked(block["x"]), block["lang"].tolist(), families))
 
     place = F.xxhash64(F.col("doc_id").cast("string"), "lang")
     dealt = rows.withColumn("_copy", F.explode(F.sequence(F.lit(0), copies - 1))).select(
         F.pmod(place + F.col("_copy"), F.lit(blocks)).alias("_block"), "doc_id", "lang", "x").repartition(blocks, "_block")
-    once = dealt.groupBy("_block", "doc_id", "lang").agg(F.min("x").alias("x"))  # a repeated row teaches once
-    fitted = mean_vectors(once.groupBy("_block").applyInPandas(learn, "key int, weight long, total binary"))
+    ordered = dealt.sortWithinPartitions("_block", "lang", "doc_id", "x")
+    fitted = mean_vectors(ordered.mapInPandas(learn, "key int, weight long, total binary"))
     return assembled(families, {k: w.astype(np.float32) for k, (_, w) in fitted.items()})
 
 
@@ -334,6 +352,7 @@ def least_shares(calibration: DataFrame, known: np.ndarray) -> dict[str | None,
     def step(texts: pd.Series) -> pd.Series:
         return pd.Series([int(known_share(t, shared.value)[0] * SHARE_STEPS) if has_letter(t) else None for t in texts], dtype="Int32")
 
+    step = step.asNondeterministic()  # else it runs twice, for the filter and for the column
     steps = calibration.select("lang", step("text").alias("step")).where("step is not null")
     rows = steps.groupBy("lang", "step").agg(F.count(F.lit(1)).alias("n")).collect()  # ``SHARE_STEPS`` rows a language at most
     counts: dict[str | None, np.ndarray] = {None: np.zeros(SHARE_STEPS + 1, dtype=np.int64)}
@@ -378,13 +397,17 @@ def identify(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs`` in a learned language, identified with at least ``min_score``; same columns."""
     teaching = labelled(docs, ~held_out())
-    named = with_language(docs, fit(teaching))
-    known = known_grams(teaching)
-    shared = docs.sparkSession.sparkContext.broadcast((known, least_shares(labelled(docs, held_out()), known)))
+    model, known = fit(teaching), known_grams(teaching)
+    shared = docs.sparkSession.sparkContext.broadcast((model, known, least_shares(labelled(docs, held_out()), known)))
 
     @F.pandas_udf("boolean")
-    def learned(texts: pd.Series, langs: pd.Series) -> pd.Series:
-        return pd.Series([is_known(t, lang, *shared.value) for t, lang in zip(texts, langs, strict=True)], dtype=bool)
+    def identified(texts: pd.Series) -> pd.Series:
+        model, known, least = shared.value
+
+        def keeps(text: str | None) -> bool:
+            lang, score = model.predict(text)
+            return lang != UNDETERMINED and score >= min_score and is_known(text, lang, known, least)
+
+        return pd.Series([keeps(t) for t in texts], dtype=bool)
 
-    kept = (F.col("_language.lang_pred") != UNDETERMINED) & (F.col("_language.score") >= min_score)
-    return named.where(kept & learned("text", F.col("_language.lang_pred"))).drop("_language")
+    return docs.where(identified("text"))

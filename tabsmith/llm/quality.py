@@ -112,9 +112,9 @@ class OrdinalModel:
 
 
 def telling(cells: np.ndarray, grade: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Features that occur often enough and unevenly enough over the grades (chi-squared) to be learned from."""
-    n, k = int(sizes.sum()), len(sizes)
-    seen = np.bincount(grade * N_FEATURES + cells, minlength=k * N_FEATURES).reshape(k, N_FEATURES)
+    """Features, numbered without gaps, that occur often enough and unevenly enough over the grades (chi-squared) to be learned from."""
+    n, k, width = int(sizes.sum()), len(sizes), int(cells.max(initial=-1)) + 1
+    seen = np.bincount(grade * width + cells, minlength=k * width).reshape(k, width)
     total = seen.sum(axis=0)
     expected = np.maximum(sizes[:, None] * total / n, 1e-9)
     chi_squared = ((seen - expected) ** 2 / expected).sum(axis=0) / np.maximum(1.0 - total / n, 1e-3)
@@ -129,10 +129,14 @@ def fit_sample(rows: list[np.ndarray], ratings: list[int]) -> OrdinalModel:
         return OrdinalModel(grades, np.zeros(0), np.zeros(N_FEATURES))
     y = np.searchsorted(grades, ratings)
     n, k = len(rows), len(grades)
-    cells, values = np.concatenate(rows), np.concatenate([_weight(r) for r in rows])
+    cells = np.concatenate(rows)
     row = np.repeat(np.arange(n), [len(r) for r in rows])
-    keep = telling(cells, y[row], np.bincount(y, minlength=k))[cells]
-    cells, values, row = cells[keep], values[keep], row[keep]
+    occurs = np.zeros(N_FEATURES, dtype=bool)
+    occurs[cells] = True
+    place = (np.cumsum(occurs, dtype=np.int32) - 1)[cells]  # counts by grade are kept of the sample's features only
+    keep = telling(place, y[row], np.bincount(y, minlength=k))[place]
+    cells, row = cells[keep], row[keep]
+    values = _weight(cells)
     # every grade weighs the same, as the sample is dealt and not drawn
     importance = (n / k / np.bincount(y, minlength=k))[y]
     used, place = np.unique(cells, return_inverse=True)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,6 +101,55 @@ def test_noise_and_unlearned_scripts_are_rejected(spark):
     assert len(kept & clean) > 0.99 * len(clean)
 
 
+def test_no_task_of_the_language_stage_has_two_python_steps(spark, monkeypatch):
+    """Each step in a row holds a worker process of its own, so that a task with two takes twice the memory."""
+    plans = []
+
+    def noted(run):
+        def noting(df, *rest):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return run(df, *rest)
+        return noting
+
+    monkeypatch.setattr(language_id, "staged", noted(staged))
+    for name in ("collect", "toPandas"):
+        monkeypatch.setattr(type(spark.range(0)), name, noted(getattr(type(spark.range(0)), name)))
+    docs = docs_of(spark, ["the cat and the dog", "le chat et le chien"] * 60)
+    language_id.keep_identified(docs).collect()
+    language_id.identify(docs).collect()
+    in_task = [sum("InPandas" in line or "ArrowEvalPython" in line for line in part.splitlines())
+               for plan in plans for part in plan.split("Exchange")]
+    assert sum(in_task) >= 12 and max(in_task) == 1
+
+
+def test_repeated_rows_teach_once_and_blocks_come_whole():
+    rows = pd.DataFrame([(b, lang, i, bytes([b, i])) for b in (0, 1, 4) for lang in ("en", "fr") for i in (1, 1, 2, 3, 3)], columns=["_block", "lang", "doc_id", "x"])
+    for size in (1, 4, 7, 100):
+        blocks = list(language_id.whole_blocks(rows[k:k + size] for k in range(0, len(rows), size)))
+        assert [b["_block"].unique().tolist() for b in blocks] == [[0], [1], [4]]
+        assert all(b[["lang", "doc_id"]].values.tolist() == [[lang, i] for lang in ("en", "fr") for i in (1, 2, 3)] for b in blocks)
+    assert list(language_id.whole_blocks([])) == list(language_id.whole_blocks([rows[:0]])) == []
+
+
+def peak_mb(run):
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_fits_hold_their_rows_once():
+    """A block's vectors are unpacked into one matrix; grades are counted for the features of the sample alone."""
+    packed = pd.Series([zlib.compress(np.full(1 << language_id.BITS, k % 5, dtype=np.float16).tobytes(), 1) for k in range(1000)])
+    assert np.array_equal(language_id._unpacked(packed)[:, 0], np.arange(1000) % 5)
+    assert peak_mb(lambda: language_id._unpacked(packed)) < 1.2 * 1000 * (1 << language_id.BITS) * 4 / 1e6
+    rows = graded(90, np.random.default_rng(5))
+    cells, grades = [quality.features(t) for t, _ in rows], [g for _, g in rows]
+    assert peak_mb(lambda: quality.fit_sample(cells, grades)) < 4 * 8 * quality.N_FEATURES / 1e6
+
+
 def test_trigrams_do_not_depend_on_slices(monkeypatch):
     text = "Der Zug fährt, 12 le train part. " * 40
     whole = np.sort(language_id.trigrams(text))
